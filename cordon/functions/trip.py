@@ -11,13 +11,26 @@ from pyspark.sql import Column, functions as F
 
 from cordon.config import CLEAN_LABEL, ENTERING, EXITING, INSIDE, OUTSIDE, AuditConfig
 
-# Reporting precision of aggregated doubles. Sums and means depend on summation order in the last
-# bits; results are reported to this many decimals so that any two engines agree.
-METRIC_DECIMALS = 6
+# Reporting precision. Money, distances, means and percentages are reported to cents, as the audited
+# reports do; correlation-type statistics to 6 places. Stored tables keep full precision.
+METRIC_DECIMALS = 2
+STAT_DECIMALS = 6
+
+
+def round_half_away(c: Column, decimals: int) -> Column:
+    """ROUND as the audited SQL engine does it on doubles: scale by 10^d, round the binary value half
+    away from zero, scale back. (Spark's ``round`` on a double rounds its shortest decimal string
+    instead, which differs on values such as 1.005.)"""
+    m = F.lit(10.0 ** decimals)
+    return F.round(c * m, 0) / m
 
 
 def metric(c: Column, decimals: int = METRIC_DECIMALS) -> Column:
-    return F.round(c, decimals)
+    return round_half_away(c, decimals)
+
+
+def stat(c: Column) -> Column:
+    return round_half_away(c, STAT_DECIMALS)
 
 
 def duration_seconds(pickup: Column, dropoff: Column) -> Column:
@@ -83,7 +96,7 @@ def trip_date(pickup: Column) -> Column:
 def pct(part: Column, whole: Column, decimals: int | None = 2) -> Column:
     """100 * part / whole in double precision; NULL when whole is 0 or NULL."""
     v = F.lit(100.0) * part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))
-    return F.round(v, decimals) if decimals is not None else v
+    return round_half_away(v, decimals) if decimals is not None else v
 
 
 def change_pct(before: Column, after: Column) -> Column:

@@ -44,9 +44,9 @@ def ghost_stats(flagged: DataFrame) -> DataFrame:
         flagged.groupBy("source_file", "taxi_type", "ghost_flag")
         .agg(
             F.count(F.lit(1)).alias("trip_count"),
-            F.round(F.avg("speed_mph"), 2).alias("avg_speed_mph"),
-            F.round(F.avg("fare"), 2).alias("avg_fare"),
-            F.round(F.avg("trip_distance"), 2).alias("avg_distance"),
+            metric(F.avg("speed_mph")).alias("avg_speed_mph"),
+            metric(F.avg("fare")).alias("avg_fare"),
+            metric(F.avg("trip_distance")).alias("avg_distance"),
         )
         .orderBy(F.col("source_file"), F.col("trip_count").desc(), F.col("ghost_flag"))
     )
@@ -76,10 +76,10 @@ def ghost_patterns(ghosts: DataFrame) -> DataFrame:
         ghosts.groupBy("ghost_flag")
         .agg(
             F.count(F.lit(1)).alias("trip_count"),
-            F.round(F.avg("speed_mph"), 2).alias("avg_speed"),
-            F.round(F.avg("fare"), 2).alias("avg_fare"),
-            F.round(F.avg("trip_distance"), 2).alias("avg_distance"),
-            F.round(F.avg("duration_seconds"), 2).alias("avg_duration_sec"),
+            metric(F.avg("speed_mph")).alias("avg_speed"),
+            metric(F.avg("fare")).alias("avg_fare"),
+            metric(F.avg("trip_distance")).alias("avg_distance"),
+            metric(F.avg("duration_seconds")).alias("avg_duration_sec"),
         )
         .orderBy(F.col("trip_count").desc(), F.col("ghost_flag"))
     )

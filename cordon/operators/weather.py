@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cordon.config import AuditConfig
-from cordon.functions.trip import metric, pct
+from cordon.functions.trip import metric, pct, stat
 
 
 def _with_rain_flag(df: DataFrame, cfg: AuditConfig) -> DataFrame:
@@ -41,8 +41,8 @@ def weather_correlation(joined: DataFrame) -> DataFrame:
     pairs with a NULL are skipped per pair."""
     return joined.agg(
         F.count(F.lit(1)).alias("days"),
-        metric(F.corr(F.col("total_trips").cast("double"), F.col("prcp_filled"))).alias("corr_trips_prcp"),
-        metric(F.corr(F.col("total_trips").cast("double"), F.col("tavg"))).alias("corr_trips_tavg"),
+        stat(F.corr(F.col("total_trips").cast("double"), F.col("prcp_filled"))).alias("corr_trips_prcp"),
+        stat(F.corr(F.col("total_trips").cast("double"), F.col("tavg"))).alias("corr_trips_tavg"),
     )
 
 
@@ -69,7 +69,7 @@ def precip_elasticity(joined: DataFrame) -> DataFrame:
     wet = joined.filter((F.col("prcp") > 0) & (F.col("total_trips") > 0))
     return wet.agg(
         F.count(F.lit(1)).alias("wet_days"),
-        metric(F.regr_slope(F.ln(F.col("total_trips").cast("double")), F.ln(F.col("prcp")))).alias("elasticity"),
+        stat(F.regr_slope(F.ln(F.col("total_trips").cast("double")), F.ln(F.col("prcp")))).alias("elasticity"),
     )
 
 
