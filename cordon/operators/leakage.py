@@ -33,7 +33,7 @@ def top_leakage_pickups(classified: DataFrame, cfg: AuditConfig) -> DataFrame:
     rank is numbered over the k surviving rows only.
     """
     s = F.col("congestion_surcharge")
-    per_loc = cross_border_after(classified).groupBy("pickup_loc").agg(
+    per_loc = cross_border_after(classified, cfg).groupBy("pickup_loc").agg(
         F.count(F.lit(1)).alias("trip_count"),
         F.count_if(s.isNull() | (s == 0)).alias("trips_without_surcharge"),
     )

@@ -30,3 +30,12 @@ def in_months(df: DataFrame, months: Iterable[tuple[int, int]]) -> DataFrame:
         df = df.filter(reduce(lambda a, b: a | b, conds))
     conds = [_month_range(y, m) for y, m in months]
     return df.filter(reduce(lambda a, b: a | b, conds))
+
+
+def since_start(df: DataFrame, start: datetime) -> DataFrame:
+    """Keep partitions that can hold trips at or after ``start`` (a superset; callers still test the
+    exact time). Without partition columns this is a no-op."""
+    if {"year", "month"} <= set(df.columns):
+        y, m = start.year, start.month
+        df = df.filter((F.col("year") > y) | ((F.col("year") == y) & (F.col("month") >= m)))
+    return df

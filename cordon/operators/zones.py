@@ -15,6 +15,7 @@ from cordon.functions.trip import (
     after_start, metric, pct, surcharge_missing, surcharge_paid, trip_date, zone_category,
 )
 from cordon.operators.joins import bounded_broadcast
+from cordon.operators.periods import since_start
 
 ROLLUP_KEYS = ("trip_date", "zone_category", "after_congestion_start")
 
@@ -111,7 +112,8 @@ def _top_locations(trips: DataFrame, key: str, k: int) -> DataFrame:
 
 def top_pickups_entering(classified: DataFrame, cfg: AuditConfig) -> DataFrame:
     """Pickup locations of trips entering the zone after the start (the stated intent)."""
-    t = classified.filter((F.col("after_congestion_start") == 1) & (F.col("zone_category") == ENTERING))
+    t = since_start(classified, cfg.policy_start)
+    t = t.filter((F.col("after_congestion_start") == 1) & (F.col("zone_category") == ENTERING))
     return _top_locations(t, "pickup_loc", cfg.top_k)
 
 
@@ -119,13 +121,15 @@ def top_pickups_same_loc(classified: DataFrame, cfg: AuditConfig) -> DataFrame:
     """The same report as the audited SQL evaluates it: its subquery binds ``pickup_loc`` to the
     outer row, so the membership test reduces to ``dropoff_loc = pickup_loc`` (the rollup it reads
     is non-empty exactly when there are clean trips)."""
-    t = classified.filter((F.col("after_congestion_start") == 1) & (F.col("dropoff_loc") == F.col("pickup_loc")))
+    t = since_start(classified, cfg.policy_start)
+    t = t.filter((F.col("after_congestion_start") == 1) & (F.col("dropoff_loc") == F.col("pickup_loc")))
     return _top_locations(t, "pickup_loc", cfg.top_k)
 
 
 def top_dropoffs_exiting(classified: DataFrame, cfg: AuditConfig) -> DataFrame:
     """Dropoff locations of trips leaving the zone after the start."""
-    t = classified.filter((F.col("after_congestion_start") == 1) & (F.col("zone_category") == EXITING))
+    t = since_start(classified, cfg.policy_start)
+    t = t.filter((F.col("after_congestion_start") == 1) & (F.col("zone_category") == EXITING))
     return _top_locations(t, "dropoff_loc", cfg.top_k)
 
 
@@ -147,7 +151,7 @@ def zone_dow(classified: DataFrame) -> DataFrame:
     return _pattern(classified, F.dayofweek("pickup_time").alias("pickup_dow"))
 
 
-def cross_border_after(classified: DataFrame) -> DataFrame:
-    return classified.filter(
+def cross_border_after(classified: DataFrame, cfg: AuditConfig) -> DataFrame:
+    return since_start(classified, cfg.policy_start).filter(
         (F.col("after_congestion_start") == 1) & F.col("zone_category").isin(*CROSS_BORDER)
     )
