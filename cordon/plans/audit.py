@@ -3,16 +3,18 @@
 Phases hand over through Parquet tables in the shared folder (``spark.checkpoint.dir`` or a given
 output root), never through the driver:
 
-1. ``unified``  - raw files of every type -> unified schema, partitioned by (taxi_type, year, month).
-2. ``trips``    - unified -> labelled trips, partitioned by (taxi_type, year, month, split) with
-                  split 'clean' or 'ghost': one scan and one write give both the clean set and the
-                  audit trail, and each reader opens only its split.
+1. ``trips``    - raw files of every type -> unified schema -> labelled trips, in one job, partitioned
+                  by (taxi_type, year, month, split) with split 'clean' or 'ghost': one scan and one
+                  write give both the clean set and the audit trail, and each reader opens only its
+                  split. (``unified`` - the unified table alone - is written only on request: nothing
+                  downstream needs it, and at scale it would be a full extra write and read.)
 3. ``zone_daily`` - clean trips -> classified -> the (day, category, period) rollup, written once;
                   every chart, key figure, leakage and weather result reads this small table.
 
-Writes use dynamic partition overwrite, so a phase that fails (or loses executors beyond Spark's
-retries) is rerun as a whole and replaces exactly its own partitions. The written tables cut the
-lineage: a later phase never recomputes an earlier one.
+A full run overwrites each table in one commit; an incremental run (new months only) uses dynamic
+partition overwrite and replaces exactly the months it writes. Either way a phase that fails (or
+loses executors beyond Spark's task retries) is simply rerun. The written tables cut the lineage: a
+later phase never recomputes an earlier one.
 """
 
 from __future__ import annotations
@@ -55,10 +57,14 @@ def write_unified(raw_by_type: Mapping[str, DataFrame], cfg: AuditConfig, tables
 
 # -- phase 2 ---------------------------------------------------------------------------------
 
-def write_labelled(unified: DataFrame, cfg: AuditConfig, tables: AuditTables) -> None:
+def write_labelled(unified: DataFrame, cfg: AuditConfig, tables: AuditTables, dynamic: bool = False) -> None:
+    """Label ``unified`` (a table or the lazy unification of raw files) and write both splits.
+
+    ``dynamic=True`` replaces only the months present in ``unified`` (incremental runs)."""
     flagged = anomaly.flag_trips(unified, cfg)
     split = F.when(F.col("ghost_flag") == CLEAN_LABEL, F.lit("clean")).otherwise(F.lit("ghost"))
-    sinks.write_trips(flagged.withColumn("split", split), tables.trips, partition_by=(*sinks.TRIP_PARTITIONS, "split"))
+    sinks.write_trips(flagged.withColumn("split", split), tables.trips,
+                      partition_by=(*sinks.TRIP_PARTITIONS, "split"), dynamic=dynamic)
 
 
 def read_unified(spark: SparkSession, tables: AuditTables) -> DataFrame:
@@ -69,14 +75,22 @@ def read_labelled(spark: SparkSession, tables: AuditTables) -> DataFrame:
     return spark.read.parquet(tables.trips)
 
 
-def read_clean(spark: SparkSession, tables: AuditTables) -> DataFrame:
+def clean_split(labelled: DataFrame) -> DataFrame:
     """Clean trips: the unified columns plus type and month partitions (split 'clean' only)."""
-    t = read_labelled(spark, tables).filter(F.col("split") == "clean")
+    t = labelled.filter(F.col("split") == "clean")
     return t.select(*UNIFIED_COLUMNS, "taxi_type", "year", "month")
 
 
+def ghost_split(labelled: DataFrame) -> DataFrame:
+    return labelled.filter(F.col("split") == "ghost").drop("split")
+
+
+def read_clean(spark: SparkSession, tables: AuditTables) -> DataFrame:
+    return clean_split(read_labelled(spark, tables))
+
+
 def read_ghost(spark: SparkSession, tables: AuditTables) -> DataFrame:
-    return read_labelled(spark, tables).filter(F.col("split") == "ghost").drop("split")
+    return ghost_split(read_labelled(spark, tables))
 
 
 # -- phase 3 ---------------------------------------------------------------------------------
@@ -99,9 +113,9 @@ def results(spark: SparkSession, tables: AuditTables, zone_table: DataFrame, wea
             cfg: AuditConfig) -> dict[str, DataFrame]:
     """Lazy result frames over the written tables (nothing runs until each is collected or written)."""
     rollup = read_zone_daily(spark, tables)
-    clean = read_clean(spark, tables)
-    ghosts = read_ghost(spark, tables)
-    labelled = read_labelled(spark, tables)
+    labelled = read_labelled(spark, tables)  # listed once; both splits are pruned views of it
+    clean = clean_split(labelled)
+    ghosts = ghost_split(labelled)
     out = {
         "ghost_stats": anomaly.ghost_stats(labelled),
         "ghost_totals": anomaly.ghost_totals(labelled),
@@ -132,11 +146,15 @@ def results(spark: SparkSession, tables: AuditTables, zone_table: DataFrame, wea
 
 
 def run_audit(spark: SparkSession, raw_by_type: Mapping[str, DataFrame], zone_table: DataFrame,
-              weather_table: DataFrame | None, root: str, cfg: AuditConfig) -> AuditTables:
+              weather_table: DataFrame | None, root: str, cfg: AuditConfig,
+              keep_unified: bool = False) -> AuditTables:
     """Run every phase and write every result under ``root``."""
     tables = AuditTables(root.rstrip("/"))
-    write_unified(raw_by_type, cfg, tables)
-    write_labelled(read_unified(spark, tables), cfg, tables)
+    if keep_unified:
+        write_unified(raw_by_type, cfg, tables)
+        write_labelled(read_unified(spark, tables), cfg, tables)
+    else:
+        write_labelled(unify.unify_all(raw_by_type, cfg.column_maps), cfg, tables)
     write_zone_daily(read_clean(spark, tables), zone_table, cfg, tables)
     for name, df in results(spark, tables, zone_table, weather_table, cfg).items():
         sinks.write_result(df.repartition(1), tables.result(name))

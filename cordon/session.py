@@ -21,7 +21,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "zstd",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
 }
 
@@ -40,8 +39,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     # A running session keeps its own values for static settings; apply the runtime ones.
-    for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode"):
-        spark.conf.set(k, conf[k])
+    spark.conf.set("spark.sql.session.timeZone", conf["spark.sql.session.timeZone"])
     ensure_checkpoint_dir(spark)
     return spark
 

@@ -1,8 +1,9 @@
 """Parquet sinks.
 
-Trip-level tables are written partitioned by taxi type and pickup month (and split), ZSTD, with
-dynamic partition overwrite: a rerun replaces exactly the partitions it writes, so reruns are
-idempotent and an interrupted job is simply run again. Small results are written as they are.
+Trip-level tables are written partitioned by taxi type and pickup month (and split), ZSTD. A full
+run replaces the table (static overwrite: one commit, no per-partition moves). An incremental run
+(``dynamic=True``) replaces only the partitions it writes, so processing new months never touches
+the old ones and a rerun of the same months is idempotent. Small results are written as they are.
 """
 
 from __future__ import annotations
@@ -24,13 +25,13 @@ def with_month_partitions(df: DataFrame, ts: str = "pickup_time") -> DataFrame:
 
 
 def write_trips(df: DataFrame, path: str, partition_by: Sequence[str] = TRIP_PARTITIONS,
-                compression: str = "zstd") -> None:
-    """Write a trip-level table partitioned by ``partition_by`` (dynamic overwrite)."""
+                compression: str = "zstd", dynamic: bool = False) -> None:
+    """Write a trip-level table partitioned by ``partition_by``."""
     out = with_month_partitions(df)
     (
         out.write.mode("overwrite")
         .option("compression", compression)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy(*partition_by)
         .parquet(path)
     )
