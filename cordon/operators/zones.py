@@ -65,12 +65,10 @@ def _surcharge_measures() -> list:
     ]
 
 
-def zone_daily(classified: DataFrame) -> DataFrame:
-    """The hub rollup by (day, category, period)."""
+def rollup_measures() -> list:
+    """The eight measures of the zone-day rollup (shared by the batch and the streaming rollup)."""
     s0 = F.coalesce(F.col("congestion_surcharge"), F.lit(0.0))
-    return classified.groupBy(
-        trip_date(F.col("pickup_time")).alias("trip_date"), "zone_category", "after_congestion_start"
-    ).agg(
+    return [
         F.count(F.lit(1)).alias("trip_count"),
         F.avg("fare").alias("avg_fare"),
         F.avg("total_amount").alias("avg_total"),
@@ -78,7 +76,14 @@ def zone_daily(classified: DataFrame) -> DataFrame:
         F.sum(s0).alias("total_congestion_collected"),
         F.avg(s0).alias("avg_congestion_surcharge"),
         *_surcharge_measures(),
-    )
+    ]
+
+
+def zone_daily(classified: DataFrame) -> DataFrame:
+    """The hub rollup by (day, category, period)."""
+    return classified.groupBy(
+        trip_date(F.col("pickup_time")).alias("trip_date"), "zone_category", "after_congestion_start"
+    ).agg(*rollup_measures())
 
 
 def zone_daily_report(rollup: DataFrame) -> DataFrame:
