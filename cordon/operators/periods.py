@@ -33,9 +33,9 @@ def in_months(df: DataFrame, months: Iterable[tuple[int, int]]) -> DataFrame:
 
 
 def since_start(df: DataFrame, start: datetime) -> DataFrame:
-    """Keep partitions that can hold trips at or after ``start`` (a superset; callers still test the
-    exact time). Without partition columns this is a no-op."""
+    """Trips at or after ``start``: a partition filter on (year, month) when the table has them, and
+    the exact time predicate, which Parquet row-group statistics can use."""
     if {"year", "month"} <= set(df.columns):
         y, m = start.year, start.month
         df = df.filter((F.col("year") > y) | ((F.col("year") == y) & (F.col("month") >= m)))
-    return df
+    return df.filter(F.col("pickup_time") >= F.lit(start.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz"))
