@@ -31,6 +31,11 @@ def congestion_zones(zones: DataFrame, cfg: AuditConfig) -> DataFrame:
     return zones.filter((F.col("borough") == cfg.zone_borough) & name_match).select("LocationID", "zone", "borough")
 
 
+def zone_name_sample(zones_in_area: DataFrame, n: int = 5) -> DataFrame:
+    """A few zones of the tolled area, lowest ids first (a sample for reports and logs)."""
+    return zones_in_area.orderBy("LocationID", "zone").limit(n)
+
+
 def zone_id_set(zones_in_area: DataFrame, cfg: AuditConfig) -> DataFrame:
     """Distinct zone ids, broadcast when their count is proven small."""
     ids = zones_in_area.select(F.col("LocationID").cast("int").alias("zone_id")).dropna().distinct()

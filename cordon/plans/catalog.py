@@ -87,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "impute_total": lambda s, d: impute.impute_total(impute.impute_month(clean(s, d), CFG)),
     # zones
     "congestion_zones": lambda s, d: zones.congestion_zones(fixture.zones(s, d), CFG),
+    "congestion_zone_sample": lambda s, d: zones.zone_name_sample(zones.congestion_zones(fixture.zones(s, d), CFG)),
     "classify_trips": lambda s, d: classified(s, d),
     "zone_daily": lambda s, d: zones.zone_daily_report(rollup(s, d)),
     "zone_summary": lambda s, d: zones.zone_summary(classified(s, d)),

@@ -320,6 +320,10 @@ SELECT taxi_type, CAST(SUM(imputed_trip_count) AS BIGINT) AS total_imputed_trips
     "congestion_zones": q(f"""
 SELECT "LocationID", zone, borough FROM zones_fx
 WHERE borough = '{CFG.zone_borough}' AND regexp_matches(zone, '{KEYWORDS}', 'i')"""),
+    "congestion_zone_sample": q(f"""
+SELECT "LocationID", zone, borough FROM zones_fx
+WHERE borough = '{CFG.zone_borough}' AND regexp_matches(zone, '{KEYWORDS}', 'i')
+ORDER BY "LocationID", zone LIMIT 5"""),
     "classify_trips": q("SELECT * FROM classified_fx"),
     "zone_daily": q("""
 SELECT trip_date, zone_category, after_congestion_start, trip_count,
