@@ -118,3 +118,47 @@ def _duck_label(seconds, distance, fare, total):
 ])
 def test_rules_agree_with_reference_sql(spark, seconds, distance, fare, total):
     assert label(spark, trip_total(seconds, distance, fare, total)) == [_duck_label(seconds, distance, fare, total)]
+
+
+def test_random_trips_agree_with_reference_sql(spark):
+    """2,000 generated trips (boundary values, NULLs, zero and negative durations) labelled by Spark
+    and by the reference-form CASE in DuckDB."""
+    import random
+
+    import duckdb
+    import pandas as pd
+
+    from cordon.plans.oracle import EPOCH
+
+    rng = random.Random(7)
+    secs = [0, 0.5, 59, 59.999, 60, 3600, -1, -30, 86400]
+    dist = [0.0, 0.005, 0.01, 0.0101, 1.0, 65.0, -1.0, None]
+    fares = [0.0, 0.01, 20.0, 20.01, -5.0, 100.0, None]
+    rows = []
+    for i in range(2000):
+        s = rng.choice(secs) if rng.random() < 0.5 else round(rng.uniform(-100, 5000), 3)
+        x = rng.choice(dist) if rng.random() < 0.5 else round(rng.uniform(-1, 80), 2)
+        f = rng.choice(fares) if rng.random() < 0.5 else round(rng.uniform(-30, 120), 2)
+        tot = None if rng.random() < 0.05 else (f if f is not None else 0.0) + rng.choice([0.0, -200.0, 3.5])
+        rows.append((i, s, x, f, tot))
+    spark_rows = [(T0, T0 + timedelta(seconds=s), 1, 2, x, f, tot, 2.5, "yellow") for _, s, x, f, tot in rows]
+    spark_labels = [r.ghost_flag for r in flag_trips(spark.createDataFrame(spark_rows, SCHEMA), CFG)
+                    .select("ghost_flag").collect()]
+
+    pdf = pd.DataFrame(rows, columns=["i", "s", "trip_distance", "fare", "total_amount"])
+    con = duckdb.connect()
+    con.register("gen", pdf)
+    duck = con.execute(f"""
+      SELECT CASE
+        WHEN trip_distance / ({EPOCH} / 3600.0) > {CFG.max_speed_mph} THEN 'excessive_speed'
+        WHEN {EPOCH} < {CFG.short_trip_seconds} AND fare > {CFG.high_fare} THEN 'short_trip_high_fare'
+        WHEN trip_distance <= {CFG.min_distance_miles} AND fare > 0 THEN 'zero_distance_positive_fare'
+        WHEN {EPOCH} <= 0 THEN 'negative_duration'
+        WHEN fare < 0 OR total_amount < 0 THEN 'negative_fare'
+        ELSE 'clean' END
+      FROM (SELECT i, TIMESTAMP '2000-03-01 12:00:00' AS pickup_time,
+                   TIMESTAMP '2000-03-01 12:00:00' + to_microseconds(CAST(round(s * 1000000) AS BIGINT)) AS dropoff_time,
+                   CAST(trip_distance AS DOUBLE) AS trip_distance, CAST(fare AS DOUBLE) AS fare,
+                   CAST(total_amount AS DOUBLE) AS total_amount FROM gen) ORDER BY i""").fetchall()
+    assert spark_labels == [r[0] for r in duck]
+    assert len(set(spark_labels)) == 6
