@@ -65,6 +65,9 @@ GREEN_COLUMN_MAP = {
 }
 COLUMN_MAPS = {"yellow": YELLOW_COLUMN_MAP, "green": GREEN_COLUMN_MAP}
 
+# Name of a monthly trip file (printf form: taxi type, year, month); the month is read back from it.
+TRIP_FILE_FORMAT = "%s_tripdata_%04d-%02d.parquet"
+
 # Anomaly labels in rule order (first match wins), then the clean label.
 GHOST_LABELS = (
     "excessive_speed",

@@ -8,14 +8,14 @@ rounded to cents (correlations to 6 places), as in the Spark results.
 
 from __future__ import annotations
 
-from cordon.config import FIXTURE_CONFIG as CFG, UNIFIED_COLUMNS
+from cordon.config import FIXTURE_CONFIG as CFG, TRIP_FILE_FORMAT, UNIFIED_COLUMNS
 
 START = f"TIMESTAMP '{CFG.policy_start_literal}'"
 OLD, NEW, TARGET = CFG.impute_older_year, CFG.impute_newer_year, CFG.impute_month
 BEFORE, AFTER = CFG.compare_before_year, CFG.compare_after_year
 QMONTHS = ", ".join(str(m) for m in CFG.compare_months)
 KEYWORDS = "|".join(CFG.zone_keywords)
-FILE_NAME = "printf('%s_tripdata_%04d-%02d.parquet', taxi_type, year(pickup_time), month(pickup_time))"
+FILE_NAME = f"printf('{TRIP_FILE_FORMAT}', taxi_type, year(pickup_time), month(pickup_time))"
 EPOCH = "EPOCH(dropoff_time - pickup_time)"
 PAID = "CASE WHEN congestion_surcharge > 0 THEN 1 ELSE 0 END"
 UNPAID = "CASE WHEN congestion_surcharge IS NULL OR congestion_surcharge = 0 THEN 1 ELSE 0 END"
@@ -186,7 +186,7 @@ ORACLE: dict[str, str] = {
     "source_row_counts": q("SELECT * FROM counts_fx"),
     "missing_months": q(f"""
 SELECT taxi_type, CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month,
-       printf('%s_tripdata_%04d-%02d.parquet', taxi_type, year, month) AS expected_file
+       printf('{TRIP_FILE_FORMAT}', taxi_type, year, month) AS expected_file
 FROM (SELECT taxi_type, year, unnest(range(1, 13)) AS month
       FROM (SELECT taxi_type, unnest([{', '.join(str(y) for y in CFG.grid_years)}]) AS year
             FROM (SELECT unnest([{', '.join(repr(t) for t in CFG.taxi_types)}]) AS taxi_type))) g

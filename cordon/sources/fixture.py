@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cordon.config import COLUMN_MAPS, UNIFIED_COLUMNS
+from cordon.config import COLUMN_MAPS, TRIP_FILE_FORMAT, UNIFIED_COLUMNS
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,7 +61,7 @@ def trips(spark: SparkSession, sf_dir: str, taxi_type: str | None = None) -> Dat
 
 def source_file_name(taxi_type: Column, ts: Column) -> Column:
     """Lineage label in the naming of monthly trip files, e.g. ``yellow_tripdata_2000-01.parquet``."""
-    return F.format_string("%s_tripdata_%04d-%02d.parquet", taxi_type, F.year(ts), F.month(ts))
+    return F.format_string(TRIP_FILE_FORMAT, taxi_type, F.year(ts), F.month(ts))
 
 
 def raw_trips(spark: SparkSession, sf_dir: str, taxi_type: str) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cordon.config import AuditConfig
+from cordon.config import TRIP_FILE_FORMAT, AuditConfig
 
 FILE_MONTH = r"(\d{4})-(\d{2})"
 
@@ -53,7 +53,7 @@ def missing_months(spark: SparkSession, counts: DataFrame, cfg: AuditConfig) ->
     missing = expected_grid(spark, cfg).join(present, ["taxi_type", "year", "month"], "left_anti")
     return missing.select(
         "taxi_type", "year", "month",
-        F.format_string("%s_tripdata_%04d-%02d.parquet", "taxi_type", "year", "month").alias("expected_file"),
+        F.format_string(TRIP_FILE_FORMAT, "taxi_type", "year", "month").alias("expected_file"),
     ).orderBy("taxi_type", "year", "month")
 
 
