@@ -1,5 +1,11 @@
-"""Streaming zone-day rollup.
+"""Streaming zone-day rollup, in two forms.
 
+``zone_daily_stream`` (watermarked window, described below) emits each day once it is closed.
+``start_zone_daily_partials`` keeps no state and drops nothing: every micro-batch is aggregated to
+mergeable sums and counts per (day, category, period) and written under its batch id;
+``zone_daily_from_partials`` merges them into the rollup on read.
+
+Watermarked form:
 Unification, labelling and classification are row-by-row, so the batch operators run unchanged on
 a streaming DataFrame (the zone ids are a static, size-checked broadcast side of a stream-static
 join). The rollup is a tumbling one-day window on the pickup time with a watermark: state holds
@@ -68,3 +74,77 @@ def start_zone_daily_sink(rollup_stream: DataFrame, path: str, checkpoint: str,
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
     return writer.start(path)
+
+
+# -- late-data-safe form: partial aggregates per micro-batch, merged on read ---------------------
+
+def _partial_measures() -> list:
+    s0 = F.coalesce(F.col("congestion_surcharge"), F.lit(0.0))
+    s = F.col("congestion_surcharge")
+    return [
+        F.count(F.lit(1)).alias("trip_count"),
+        F.sum("fare").alias("fare_sum"), F.count("fare").alias("fare_n"),
+        F.sum("total_amount").alias("total_sum"), F.count("total_amount").alias("total_n"),
+        F.sum("trip_distance").alias("distance_sum"), F.count("trip_distance").alias("distance_n"),
+        F.sum(s0).alias("total_congestion_collected"),
+        F.count_if(s > 0).alias("trips_with_surcharge"),
+        F.count_if(s.isNull() | (s == 0)).alias("trips_without_surcharge"),
+    ]
+
+
+def zone_daily_partials(classified: DataFrame) -> DataFrame:
+    """Mergeable partial rollup (sums and counts) of a set of classified trips."""
+    from cordon.functions.trip import trip_date
+
+    return classified.groupBy(
+        trip_date(F.col("pickup_time")).alias("trip_date"), "zone_category", "after_congestion_start"
+    ).agg(*_partial_measures())
+
+
+def zone_daily_from_partials(partials: DataFrame) -> DataFrame:
+    """The zone-day rollup from any number of partial rows per key (same columns as the batch)."""
+    keys = ["trip_date", "zone_category", "after_congestion_start"]
+    m = partials.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in (
+        "trip_count", "fare_sum", "fare_n", "total_sum", "total_n", "distance_sum", "distance_n",
+        "total_congestion_collected", "trips_with_surcharge", "trips_without_surcharge")])
+
+    def mean(s, n):
+        return F.col(s) / F.nullif(F.col(n), F.lit(0))
+
+    return m.select(
+        *keys,
+        "trip_count",
+        mean("fare_sum", "fare_n").alias("avg_fare"),
+        mean("total_sum", "total_n").alias("avg_total"),
+        mean("distance_sum", "distance_n").alias("avg_distance"),
+        "total_congestion_collected",
+        (F.col("total_congestion_collected") / F.col("trip_count")).alias("avg_congestion_surcharge"),
+        "trips_with_surcharge", "trips_without_surcharge",
+    )
+
+
+def start_zone_daily_partials(raw_streams: Mapping[str, DataFrame], zone_ids: DataFrame, cfg: AuditConfig,
+                              path: str, checkpoint: str, available_now: bool = False,
+                              processing_time: str | None = None) -> StreamingQuery:
+    """Stream trips into a table of partial rollups, one partition per micro-batch.
+
+    Nothing is held in state and nothing is late: a trip for an old day adds a partial row for that
+    day. Each micro-batch overwrites only its own ``batch_id`` partition, so a replayed batch (after
+    a failure) replaces its earlier attempt: the table is exactly-once.
+    """
+    unified = unify.unify_all(raw_streams, cfg.column_maps)
+    classified = zones.classify(anomaly.clean_trips(anomaly.flag_trips(unified, cfg)), zone_ids, cfg)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        (
+            zone_daily_partials(batch).withColumn("batch_id", F.lit(batch_id))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id").parquet(path)
+        )
+
+    writer = classified.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
