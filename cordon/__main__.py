@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import functions as F
 
 from cordon.config import DEFAULT_CONFIG
 from cordon.operators import unify

@@ -10,7 +10,7 @@ from cordon.config import FIXTURE_CONFIG as CFG, GREEN_COLUMN_MAP, UNIFIED_COLUM
 from cordon.operators import unify, zones
 from cordon.operators.joins import bounded_broadcast, row_count_at_most
 from cordon.plans import audit
-from cordon.sources import fixture, inventory, raw, schema, sinks
+from cordon.sources import fixture, inventory, raw, schema
 
 
 def _raw(spark, cmap, rows):
