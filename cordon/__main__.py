@@ -3,15 +3,14 @@
     python -m cordon --yellow DIR --green DIR --zones FILE [--weather FILE] [--out ROOT]
                      [--phase all|trips|rollup|results] [--incremental] [--keep-unified]
 
-``--out`` defaults to ``<spark.checkpoint.dir>/cordon``. ``--incremental`` processes only the
-source months that have no partition in the trips table yet (and rewrites just those months).
+``--out`` defaults to ``<spark.checkpoint.dir>/cordon``. ``--incremental`` reads only the raw files
+whose trips are not in the labelled table yet and appends them.
 """
 
 from __future__ import annotations
 
 import argparse
 
-
 from cordon.config import DEFAULT_CONFIG
 from cordon.operators import unify
 from cordon.plans import audit
@@ -44,16 +43,19 @@ def run(spark, args: argparse.Namespace, cfg=DEFAULT_CONFIG) -> audit.AuditTable
     if args.phase in ("all", "trips"):
         unified = unify.unify_all(raw_by_type, cfg.column_maps)
         if args.incremental:
-            counts = inventory.source_row_counts(raw_by_type)
+            # File-level increments: list the raw files (metadata only), keep those whose trips are
+            # not in the labelled table, and read just those. The list is bounded by the file count.
+            paths = {"yellow": args.yellow, "green": args.green}
+            files = inventory.source_files(spark, paths)
             try:
-                done = audit.read_labelled(spark, tables)
-                todo = inventory.unprocessed_months(counts, done)
-            except Exception:  # no trips table yet: everything is new
-                todo = counts.filter("is_valid").select("taxi_type", "year", "month").distinct()
-            # Month set of the sources: one row per file at most, so this semi-join side stays small.
-            keyed = sinks.with_month_partitions(unified)
-            unified = keyed.join(todo, ["taxi_type", "year", "month"], "left_semi")
-            audit.write_labelled(unified, cfg, tables, dynamic=True)
+                files = inventory.unprocessed_files(files, audit.read_labelled(spark, tables))
+            except Exception:  # no labelled table yet: every file is new
+                pass
+            todo = {t: [r.file_path for r in files.filter(files.taxi_type == t).select("file_path").collect()]
+                    for t in paths}
+            new_raw = {t: raw.read_trip_files(spark, ps) for t, ps in todo.items() if ps}
+            if new_raw:
+                audit.write_labelled(unify.unify_all(new_raw, cfg.column_maps), cfg, tables, append=True)
         elif args.keep_unified:
             audit.write_unified(raw_by_type, cfg, tables)
             audit.write_labelled(audit.read_unified(spark, tables), cfg, tables)

@@ -57,14 +57,16 @@ def write_unified(raw_by_type: Mapping[str, DataFrame], cfg: AuditConfig, tables
 
 # -- phase 2 ---------------------------------------------------------------------------------
 
-def write_labelled(unified: DataFrame, cfg: AuditConfig, tables: AuditTables, dynamic: bool = False) -> None:
+def write_labelled(unified: DataFrame, cfg: AuditConfig, tables: AuditTables, dynamic: bool = False,
+                   append: bool = False) -> None:
     """Label ``unified`` (a table or the lazy unification of raw files) and write both splits.
 
-    ``dynamic=True`` replaces only the months present in ``unified`` (incremental runs)."""
+    ``dynamic=True`` replaces only the months present in ``unified``; ``append=True`` adds the
+    trips of new source files (the job commit is atomic, so a failed run leaves nothing behind)."""
     flagged = anomaly.flag_trips(unified, cfg)
     split = F.when(F.col("ghost_flag") == CLEAN_LABEL, F.lit("clean")).otherwise(F.lit("ghost"))
     sinks.write_trips(flagged.withColumn("split", split), tables.trips,
-                      partition_by=(*sinks.TRIP_PARTITIONS, "split"), dynamic=dynamic)
+                      partition_by=(*sinks.TRIP_PARTITIONS, "split"), dynamic=dynamic, append=append)
 
 
 def read_unified(spark: SparkSession, tables: AuditTables) -> DataFrame:

@@ -80,3 +80,20 @@ def unprocessed_months(counts: DataFrame, processed: DataFrame) -> DataFrame:
     done = processed.select("taxi_type", "year", "month").distinct()
     todo = counts.filter("is_valid").select("taxi_type", "year", "month").distinct()
     return todo.join(done, ["taxi_type", "year", "month"], "left_anti")
+
+
+def source_files(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """One row per raw file (``taxi_type``, ``source_file`` name, ``file_path``), from the file
+    listing alone: no data file is opened. The list is bounded by the number of files."""
+    rows = []
+    for t, p in paths.items():
+        for f in spark.read.parquet(p).inputFiles():
+            rows.append((t, f.rstrip("/").rsplit("/", 1)[-1], f))
+    return spark.createDataFrame(rows, "taxi_type string, source_file string, file_path string")
+
+
+def unprocessed_files(files: DataFrame, labelled: DataFrame) -> DataFrame:
+    """Raw files whose trips are not in the labelled table yet (its ``source_file`` lineage column is
+    the manifest, so data and manifest can never disagree)."""
+    done = labelled.select("taxi_type", "source_file").distinct()
+    return files.join(done, ["taxi_type", "source_file"], "left_anti")

@@ -12,10 +12,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def read_trip_files(spark: SparkSession, path: str) -> DataFrame:
-    """A directory of trip files; ``source_file`` is kept when the files carry it, else taken from
-    the file metadata."""
-    df = spark.read.parquet(path)
+def read_trip_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """A directory (or list) of trip files; ``source_file`` is kept when the files carry it, else
+    taken from the file metadata."""
+    df = spark.read.parquet(*([path] if isinstance(path, str) else path))
     if "source_file" in df.columns:
         return df
     return df.withColumn("source_file", F.col("_metadata.file_name"))

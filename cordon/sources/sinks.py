@@ -2,8 +2,9 @@
 
 Trip-level tables are written partitioned by taxi type and pickup month (and split), ZSTD. A full
 run replaces the table (static overwrite: one commit, no per-partition moves). An incremental run
-(``dynamic=True``) replaces only the partitions it writes, so processing new months never touches
-the old ones and a rerun of the same months is idempotent. Small results are written as they are.
+(``dynamic=True``) replaces only the partitions it writes, so a rerun of the same months is
+idempotent; ``append=True`` adds new source files' trips (file-level increments, see
+``inventory.unprocessed_files``). Small results are written as they are.
 """
 
 from __future__ import annotations
@@ -25,11 +26,11 @@ def with_month_partitions(df: DataFrame, ts: str = "pickup_time") -> DataFrame:
 
 
 def write_trips(df: DataFrame, path: str, partition_by: Sequence[str] = TRIP_PARTITIONS,
-                compression: str = "zstd", dynamic: bool = False) -> None:
-    """Write a trip-level table partitioned by ``partition_by``."""
+                compression: str = "zstd", dynamic: bool = False, append: bool = False) -> None:
+    """Write a trip-level table partitioned by ``partition_by`` (``append`` adds files to it)."""
     out = with_month_partitions(df)
     (
-        out.write.mode("overwrite")
+        out.write.mode("append" if append else "overwrite")
         .option("compression", compression)
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy(*partition_by)
