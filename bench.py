@@ -88,8 +88,8 @@ def main() -> None:
 
     timed("unify_and_split", unify_and_split)
     timed("split_stats", lambda: anomaly.ghost_stats(audit.read_labelled(spark, tables)).collect())
-    timed("zone_rollup", lambda: audit.write_zone_daily(audit.read_clean(spark, tables), zones_df, CFG, tables))
-    res = timed("open_tables", lambda: audit.results(spark, tables, zones_df, weather_df, CFG))
+    ids = timed("zone_rollup", lambda: audit.write_zone_daily(audit.read_clean(spark, tables), zones_df, CFG, tables))
+    res = timed("open_tables", lambda: audit.results(spark, tables, zones_df, weather_df, CFG, zone_ids=ids))
     headline = [
         "daily_trips", "revenue_daily_cumulative", "zone_period", "daily_leakage",
         "leakage_summary", "kpi_overview", "zone_period_pivot", "quarter_comparison", "market_share_shift",

@@ -61,10 +61,11 @@ def run(spark, args: argparse.Namespace, cfg=DEFAULT_CONFIG) -> audit.AuditTable
             audit.write_labelled(audit.read_unified(spark, tables), cfg, tables)
         else:
             audit.write_labelled(unified, cfg, tables)
+    ids = None
     if args.phase in ("all", "rollup"):
-        audit.write_zone_daily(audit.read_clean(spark, tables), zones, cfg, tables)
+        ids = audit.write_zone_daily(audit.read_clean(spark, tables), zones, cfg, tables)
     if args.phase in ("all", "results"):
-        for name, df in audit.results(spark, tables, zones, weather, cfg).items():
+        for name, df in audit.results(spark, tables, zones, weather, cfg, zone_ids=ids).items():
             sinks.write_result(df.repartition(1), tables.result(name))
     return tables
 

@@ -97,12 +97,20 @@ def read_ghost(spark: SparkSession, tables: AuditTables) -> DataFrame:
 
 # -- phase 3 ---------------------------------------------------------------------------------
 
-def write_zone_daily(clean: DataFrame, zone_table: DataFrame, cfg: AuditConfig, tables: AuditTables) -> None:
-    ids = zones.zone_id_set(zones.congestion_zones(zone_table, cfg), cfg)
+def zone_ids_of(zone_table: DataFrame, cfg: AuditConfig) -> DataFrame:
+    """The tolled zone's ids, size-checked once per run and shared by every phase that needs them."""
+    return zones.zone_id_set(zones.congestion_zones(zone_table, cfg), cfg)
+
+
+def write_zone_daily(clean: DataFrame, zone_table: DataFrame, cfg: AuditConfig, tables: AuditTables,
+                     zone_ids: DataFrame | None = None) -> DataFrame:
+    """Write the zone-day rollup; returns the zone-id set it used."""
+    ids = zone_ids if zone_ids is not None else zone_ids_of(zone_table, cfg)
     rollup = zones.zone_daily(zones.classify(clean, ids, cfg))
     # One row per (day, category, period). The final aggregation stays parallel; only its small
     # output is gathered into one file (a coalesce here would pull the final aggregation into one task).
     sinks.write_result(rollup.repartition(1), tables.zone_daily)
+    return ids
 
 
 def read_zone_daily(spark: SparkSession, tables: AuditTables) -> DataFrame:
@@ -112,7 +120,7 @@ def read_zone_daily(spark: SparkSession, tables: AuditTables) -> DataFrame:
 # -- results -----------------------------------------------------------------------------------
 
 def results(spark: SparkSession, tables: AuditTables, zone_table: DataFrame, weather_table: DataFrame | None,
-            cfg: AuditConfig) -> dict[str, DataFrame]:
+            cfg: AuditConfig, zone_ids: DataFrame | None = None) -> dict[str, DataFrame]:
     """Lazy result frames over the written tables (nothing runs until each is collected or written)."""
     rollup = read_zone_daily(spark, tables)
     labelled = read_labelled(spark, tables)  # listed once; both splits are pruned views of it
@@ -134,7 +142,7 @@ def results(spark: SparkSession, tables: AuditTables, zone_table: DataFrame, wea
         "market_share_shift": compare.market_share_shift(clean, cfg),
         "impute_month": impute.impute_month(clean, cfg),
     }
-    ids = zones.zone_id_set(zones.congestion_zones(zone_table, cfg), cfg)
+    ids = zone_ids if zone_ids is not None else zone_ids_of(zone_table, cfg)
     classified = zones.classify(clean, ids, cfg)
     out["top_pickups_entering"] = zones.top_pickups_entering(classified, cfg)
     out["top_pickups_same_loc"] = zones.top_pickups_same_loc(classified, cfg)
@@ -157,7 +165,7 @@ def run_audit(spark: SparkSession, raw_by_type: Mapping[str, DataFrame], zone_ta
         write_labelled(read_unified(spark, tables), cfg, tables)
     else:
         write_labelled(unify.unify_all(raw_by_type, cfg.column_maps), cfg, tables)
-    write_zone_daily(read_clean(spark, tables), zone_table, cfg, tables)
-    for name, df in results(spark, tables, zone_table, weather_table, cfg).items():
+    ids = write_zone_daily(read_clean(spark, tables), zone_table, cfg, tables)
+    for name, df in results(spark, tables, zone_table, weather_table, cfg, zone_ids=ids).items():
         sinks.write_result(df.repartition(1), tables.result(name))
     return tables
