@@ -134,8 +134,9 @@ class AuditConfig:
     top_k: int = 100
     top_leakage_k: int = 3
 
-    # Largest dimension we agree to broadcast; beyond it the join falls back to a shuffle join.
-    broadcast_max_rows: int = 1_000_000
+    # Largest dimension we agree to broadcast (rows); beyond it the join falls back to a shuffle join.
+    # A zone dimension has a few hundred rows.
+    broadcast_max_rows: int = 100_000
 
     column_maps: dict = field(default_factory=lambda: dict(COLUMN_MAPS))
 
