@@ -132,3 +132,12 @@ def test_full_audit_run_matches_direct_queries(spark, sf_small, keep_unified):
         a = sorted(map(tuple, spark.read.parquet(tables.result(name)).collect()))
         b = sorted(map(tuple, catalog.QUERIES[name](spark, sf_small).collect()))
         assert a == b, name
+
+
+def test_weather_reader_takes_time_as_date(spark):
+    d = tempfile.mkdtemp(prefix="cordon-weather-")
+    spark.createDataFrame([("2001-01-05", 3.2, 1.5)], "time string, prcp double, tavg double") \
+        .write.option("header", "true").csv(f"{d}/w")
+    w = raw.read_weather(spark, f"{d}/w", "csv")
+    r = w.collect()[0]
+    assert "date" in w.columns and str(r.date) == "2001-01-05" and r.prcp == 3.2
