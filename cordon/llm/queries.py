@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cordon.llm import mixing, packing, rules, token_counts
+from cordon.llm import exact_dedup, mixing, packing, rules, token_counts, url_rules
 from cordon.llm.shared import table
 
 
@@ -22,11 +22,24 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents")).drop("failed_rule")
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_rows(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
+             ("org", "/fr/", "allow")]
+
+
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules_table = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules_table)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -37,7 +50,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_quality_rules": op4_quality_rules,
+    "op5_exact_dedup": op5_exact_dedup,
     "op6_source_mixing": op6_source_mixing,
+    "op8_url_rules": op8_url_rules,
     "op10_token_counts": op10_token_counts,
 }
 
@@ -100,3 +115,22 @@ SELECT doc_id, size, source_size, target,
             THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM c JOIN e ON c.source IS NOT DISTINCT FROM e.source
 """
+
+ORACLE["op5_exact_dedup"] = """
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
+           FROM documents),
+g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY norm)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(d.norm) AS text_sha256
+FROM d JOIN g ON d.norm = g.norm
+"""
+
+ORACLE["op8_url_rules"] = r"""
+WITH p AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+u AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM p),
+r AS (SELECT *, CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+                     WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+                     WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+                     WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM u)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM r
+"""
