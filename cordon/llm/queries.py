@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cordon.llm import exact_dedup, mixing, packing, rules, token_counts, url_rules
+from cordon.llm import exact_dedup, mixing, ngram_join, packing, rules, token_counts, url_rules
 from cordon.llm.shared import table
 
 
@@ -40,6 +40,10 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules_table)
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_source_mixing": op6_source_mixing,
     "op8_url_rules": op8_url_rules,
+    "op9_ngram_join": op9_ngram_join,
     "op10_token_counts": op10_token_counts,
 }
 
