@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cordon.llm import exact_dedup, mixing, ngram_join, packing, rules, token_counts, url_rules
+from cordon.llm import (exact_dedup, line_dedup, mixing, ngram_join, packing, pii, quality_knn, rules, token_counts,
+                        url_rules)
 from cordon.llm.shared import table
 
 
@@ -18,6 +19,20 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digests(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+def _held_out(doc_id: Column) -> Column:
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+def op2_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_knn.fit(docs, labels.filter(~_held_out(F.col("doc_id"))))
+    return quality_knn.score(docs, model).select("doc_id", _held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_digests(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents")).drop("failed_rule")
 
@@ -31,6 +46,10 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_digests(table(spark, sf_dir, "documents"))
+
+
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
              ("org", "/fr/", "allow")]
 
@@ -53,9 +72,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_quality_knn": op2_quality_knn,
+    "op3_line_dedup": op3_line_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_source_mixing": op6_source_mixing,
+    "op7_pii": op7_pii,
     "op8_url_rules": op8_url_rules,
     "op9_ngram_join": op9_ngram_join,
     "op10_token_counts": op10_token_counts,
@@ -90,7 +112,7 @@ b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
        CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
        CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
-       NOT (base_failed OR 5 * n_symbols > n_words OR 10 * n_dup_lines > 3 * lines OR 5 * with_letter < 4 * n_words
+       NOT (base_failed OR 5 * n_symbols > n_words OR 2 * n_dup_lines > lines OR 5 * with_letter < 4 * n_words
             OR 10 * loud > 3 * n_words OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
 FROM b
 """
@@ -139,3 +161,28 @@ r AS (SELECT *, CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AN
                      WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM u)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM r
 """
+
+# Lines that share their first or last nine characters are compared (of twenty characters, one edit
+# leaves one of the two untouched). DuckDB's edit distance counts bytes, so it only sorts out here.
+ORACLE["op3_line_dedup"] = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, i, raw, trim(raw, ' ' || chr(9) || chr(13)) AS line
+      FROM (SELECT doc_id, unnest(range(len(ls))) AS i, unnest(ls) AS raw FROM d)),
+f AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, i) AS nth FROM l),
+u AS (SELECT doc_id, i, line, length(line) AS n FROM f WHERE nth = 1 AND length(line) >= 20),
+c AS (SELECT a.doc_id, a.i, a.line AS x, b.line AS y FROM u a JOIN u b ON left(a.line, 9) = left(b.line, 9)
+      WHERE (b.doc_id, b.i) < (a.doc_id, a.i) AND abs(a.n - b.n) <= 1
+      UNION SELECT a.doc_id, a.i, a.line, b.line FROM u a JOIN u b ON right(a.line, 9) = right(b.line, 9)
+      WHERE (b.doc_id, b.i) < (a.doc_id, a.i) AND abs(a.n - b.n) <= 1),
+e AS (SELECT doc_id, i, CASE WHEN length(x) >= length(y) THEN x ELSE y END AS x, CASE WHEN length(x) >= length(y) THEN y ELSE x END AS y
+      FROM c WHERE levenshtein(x, y) <= 4),
+near AS (SELECT DISTINCT doc_id, i FROM e WHERE len(list_filter(range(1, length(x) + 1), lambda p:
+         left(x, p - 1) = left(y, p - 1)
+         AND substr(x, p + 1) = substr(y, CASE WHEN length(x) = length(y) THEN p + 1 ELSE p END))) > 0),
+j AS (SELECT f.doc_id, f.i, f.raw, f.line, f.line <> '' AND f.nth > 1 AS equal, near.i IS NOT NULL AS near
+      FROM f LEFT JOIN near ON f.doc_id = near.doc_id AND f.i = near.i)
+SELECT doc_id, count(*) FILTER (line <> '') AS n_lines, count(*) FILTER (equal) AS n_equal_dropped,
+       count(*) FILTER (near) AS n_near_dropped,
+       sha256(coalesce(string_agg(raw, chr(10) ORDER BY i) FILTER (NOT (equal OR near)), '')) AS text_sha256
+FROM j GROUP BY doc_id
+"""

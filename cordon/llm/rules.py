@@ -11,7 +11,7 @@ The rules are stated in whole numbers, so SQL gives the same verdicts (``queries
 - ``few_words``: fewer than 50 words (base);
 - ``repeats``: more than half of the words lie in three-word windows found twice or more (base);
 - ``symbols``: more than one of ``# * $ % & | < >`` for every five words;
-- ``repeated_lines``: more than three tenths of the lines with words equal an earlier line;
+- ``repeated_lines``: more than half of the lines with words equal an earlier line;
 - ``not_words``: fewer than four fifths of the words hold a letter (ASCII, or any character past ASCII);
 - ``shouting``: more than three tenths of the words hold two ASCII capitals and no ASCII small letter;
 - ``word_length``: the words' mean length is below two or above twenty characters.
@@ -125,7 +125,7 @@ def _symbols(t: Texts) -> np.ndarray:
 
 def _repeated_lines(t: Texts) -> np.ndarray:
     lines, again = _line_counts(t)
-    return 10 * again > 3 * lines
+    return 2 * again > lines
 
 
 def _not_words(t: Texts) -> np.ndarray:
