@@ -7,8 +7,10 @@ private folder is made only when that setting is absent (local tests and the ben
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -40,18 +42,40 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark.sparkContext.setLogLevel("ERROR")
     # A running session keeps its own values for static settings; apply the runtime ones.
     spark.conf.set("spark.sql.session.timeZone", conf["spark.sql.session.timeZone"])
-    ensure_checkpoint_dir(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package's modules, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="cordon-py-"), "cordon.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.join("cordon", os.path.relpath(full, here)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a private one only when none is configured."""
+    """Return the shared checkpoint folder. Only a local session gets a private one if none is configured:
+    on a cluster the executors would write to their own disks."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="cordon-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
