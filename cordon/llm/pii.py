@@ -18,7 +18,8 @@ Candidates that are not base spans are added if it gives them at least ``ADD_AT`
 a base span.
 
 Positions are code points, found from the lengths of the matches and of the text between them, so the
-text is read by each pattern once. The patterns use possessive loops and start only where a match can
+text is read by each pattern once (joining a text's spans takes time with the square of their number). The
+patterns use possessive loops and start only where a match can
 start, so their time is linear in the text. Candidates are written without text before the statistics.
 
 Edge cases: null text is empty and has no spans; without candidates nothing is added; repeated rows get

@@ -13,7 +13,8 @@ active ones, and the last of them is the longest.
 
 Edge cases: null urls and urls without ``://`` have empty host and path and fit no rule; an empty path
 starts with no rule's path; repeated rows are judged alike and all returned; an empty table gives no
-rows; if one (host, path) has both verdicts, ``block`` holds; other columns are not read.
+rows; of fitting rules of equal length the one with the longer host wins; if one (host, path) has both
+verdicts, ``block`` holds; other columns are not read.
 """
 
 from __future__ import annotations
@@ -55,7 +56,8 @@ def _stacks(rules: DataFrame) -> DataFrame:
     prefixes = one.select(F.col("key").alias("inner"),
                           F.explode(F.transform(starts, lambda n: F.substring(F.col("key"), F.lit(1), n))).alias("outer"))
     return (prefixes.join(one, F.col("outer") == F.col("key")).groupBy("inner")
-            .agg(F.sort_array(F.collect_list(F.struct(F.char_length("key").alias("n"), "key", "rule", "verdict"))).alias("stack"))
+            .agg(F.sort_array(F.collect_list(F.struct(
+                F.char_length("key").alias("n"), F.instr("key", "/").alias("host_n"), "key", "rule", "verdict"))).alias("stack"))
             .withColumnRenamed("inner", "key"))
 
 

@@ -1,0 +1,95 @@
+"""Line deduplication against plain Python: equal lines, one edit at every place, short and long lines."""
+
+import hashlib
+import random
+
+import pytest
+
+from cordon.llm import line_dedup
+from helpers import documents, odd_documents, prose, rows_of, with_clashes
+
+
+def one_edit(a, b):
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) - len(b) > 1 or a == b:
+        return False
+    p = 0
+    while p < len(b) and a[p] == b[p]:
+        p += 1
+    return a[p + 1:] == (b[p + 1:] if len(a) == len(b) else b[p:])
+
+
+def brute(rows, order):
+    """``order`` ranks documents with equal ids."""
+    docs = sorted({(r[0], r[1] or "") for r in rows}, key=lambda d: (d[0] is None, d[0] or 0, order[d[1]]))
+    first, result = {}, {}
+    equal = {d: set() for d in docs}
+    near = {d: set() for d in docs}
+    seen = []
+    for d in docs:
+        for i, raw in enumerate(d[1].split("\n")):
+            line = raw.strip(" \t\r")
+            if not line:
+                continue
+            if line in first:
+                equal[d].add(i)
+                continue
+            first[line] = (d, i)
+            if any(one_edit(line, x) for x in seen if len(x) >= 20 and abs(len(x) - len(line)) < 2) and len(line) >= 20:
+                near[d].add(i)
+            seen.append(line)
+    for d in docs:
+        lines = d[1].split("\n")
+        text = "\n".join(x for i, x in enumerate(lines) if i not in equal[d] | near[d])
+        result[d] = (d[0], sum(bool(x.strip(" \t\r")) for x in lines), len(equal[d]), len(near[d]),
+                     hashlib.sha256(text.encode()).hexdigest())
+    return [result[r[0], r[1] or ""] for r in rows]
+
+
+def check(spark, rows):
+    df = documents(spark, rows)
+    order = {r.text or "": r.t for r in df.select("text", line_dedup._tie("text").alias("t")).collect()}
+    got = line_dedup.dedup_digests(with_clashes(df)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(brute(rows, order), key=str)
+
+
+def test_odd_documents(spark):
+    check(spark, odd_documents())
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_one_edit_anywhere(spark, seed):
+    rng = random.Random(seed)
+    lines = [prose(rng, n) for n in (1, 2, 3, 4, 5, 9, 12, 30, 60)] + ["é" * 40, "ab" * 70, "a" * 65, "a" * 64, "x" * 20, "x" * 19]
+    made = list(lines)
+    for _ in range(400):
+        w = list(rng.choice(lines))
+        for _ in range(rng.choice([1, 1, 1, 2])):
+            p = rng.randrange(len(w) + 1)
+            kind = rng.choice("dis")
+            if kind == "i":
+                w.insert(p, rng.choice("abé x"))
+            elif w and p < len(w):
+                if kind == "d":
+                    del w[p]
+                else:
+                    w[p] = rng.choice("abé")
+        made.append("".join(w) or "z")
+    made += [rng.choice([" ", ""]) + x + rng.choice(["\r", "\t ", ""]) for x in rng.sample(made, 60)] + ["", "  "] * 10
+    rng.shuffle(made)
+    rows = [(i // 2 if i % 7 else None, "\n".join(made[k:k + 5]), None, None, None) for i, k in enumerate(range(0, len(made), 5))]
+    check(spark, rows)
+
+
+def test_hot_line_and_texts(spark):
+    hot = "the one line that a third of all documents share"
+    rows = [(i, f"{hot}\n{'same page header ' + str(i % 7) + ' of ten'}\nown line number {i}" if i % 3 == 0 else prose(random.Random(i), 12),
+             None, None, None) for i in range(300)]
+    check(spark, rows)
+    cleaned = {r.doc_id: r.text for r in line_dedup.dedup_lines(documents(spark, rows)).collect()}
+    assert cleaned[0].startswith(hot) and all(hot not in cleaned[i] for i in range(3, 300, 3))
+
+
+def test_empty_table(spark):
+    assert rows_of(line_dedup.dedup_digests(documents(spark, []))) == []
