@@ -160,7 +160,8 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", per_class: i
     for c in (0, 1):
         part = known.filter(F.col("label") == c).orderBy(F.xxhash64("l_id"), "l_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    sample = docs.join(F.broadcast(chosen), F.col("doc_id").cast("long") == F.col("l_id"))  # 2 * per_class rows
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_col)
+    sample = own.join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id"))  # 2 * per_class rows
     rows = (_feature_rows(sample, text_col).groupBy("l_id", "label").agg(F.min("raw").alias("raw"))
             .orderBy("label", "l_id").collect())  # one row an id of the sample
     raw = np.array([np.frombuffer(r["raw"], dtype=np.float32) for r in rows]).reshape(len(rows), FEATURES)
