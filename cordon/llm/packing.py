@@ -68,7 +68,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                     length.append(min(capacity, len(whole) - at))
                     ids.append(raw[4 * at:4 * (at + capacity)])
                 size += len(raw)
-                if size > 16 << 20:
+                if size > 4 << 20:
                     yield flush()
                     rows, nth, start, length, ids = [], [], [], [], []
                     size = 0

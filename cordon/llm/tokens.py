@@ -23,7 +23,7 @@ SEPARATOR = "\x01"
 # Latin letters that are composed and have one lower-case form, then marks: pre-tokens of their own.
 LETTERS_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:&*%$#)\]}]*)").fullmatch
 WORDS_PER_CALL = 64
-DEFAULT_MAX_WORDS = 500_000
+DEFAULT_MAX_WORDS = 200_000
 
 
 class WordIds:

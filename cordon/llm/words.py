@@ -3,7 +3,7 @@
 A word is a maximal run of bytes other than ASCII white space (0x20, 0x09-0x0D), which is what
 ``[^\\x20\\x09-\\x0D]+`` finds in the decoded text, as no byte of a multi-byte character lies in
 that range. All work is done on the UTF-8 buffer of the Arrow column; no Python string is made.
-Texts are taken in slices of a few megabytes, so memory depends on the slice (or on the largest
+Texts are taken in slices of about a megabyte, so memory depends on the slice (or on the largest
 single text) and not on the batch.
 """
 
@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
-HASH_CHUNK = 1 << 20
+SLICE_BYTES = 1 << 20
+SLICE_ROWS = 1024
+HASH_CHUNK = 1 << 18
 
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -109,9 +110,12 @@ def slices(column: pa.Array) -> Iterator[Texts]:
     """Slices of a string column; a null text counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    for first in range(0, len(column), SLICE_ROWS):
+        yield from _slices(first, column.slice(first, SLICE_ROWS))
+
+
+def _slices(first: int, column: pa.Array) -> Iterator[Texts]:
     column = pc.fill_null(column.cast(pa.large_string()), "")
-    if len(column) == 0:
-        return
     _, off_buf, data_buf = column.buffers()
     offsets = np.frombuffer(off_buf, dtype=np.int64)[column.offset: column.offset + len(column) + 1]
     data = np.frombuffer(data_buf, dtype=np.uint8) if data_buf is not None else np.zeros(0, np.uint8)
@@ -120,5 +124,5 @@ def slices(column: pa.Array) -> Iterator[Texts]:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + SLICE_BYTES, side="right")) - 1)
         j = min(j, n)
         lo, hi = int(offsets[i]), int(offsets[j])
-        yield _find(i, data[lo:hi], offsets[i:j + 1] - lo)
+        yield _find(first + i, data[lo:hi], offsets[i:j + 1] - lo)
         i = j
