@@ -1,10 +1,11 @@
 """Command line: run the audit on trip files.
 
     python -m cordon --yellow DIR --green DIR --zones FILE [--weather FILE] [--out ROOT]
-                     [--phase all|trips|rollup|results] [--incremental] [--keep-unified]
+                     [--phase all|trips|rollup|results] [--incremental] [--month-salt N]
 
-``--out`` defaults to ``<spark.checkpoint.dir>/cordon``. ``--incremental`` reads only the raw files
-whose trips are not in the labelled table yet and appends them.
+``--out`` defaults to ``<spark.checkpoint.dir>/cordon``. ``--incremental`` takes only the raw files
+that no published run has taken, and adds them. ``--month-salt`` clusters trips by month before they
+are written, for raw files that are not laid out by month.
 """
 
 from __future__ import annotations
@@ -12,10 +13,9 @@ from __future__ import annotations
 import argparse
 
 from cordon.config import DEFAULT_CONFIG
-from cordon.operators import unify
 from cordon.plans import audit
 from cordon.session import ensure_checkpoint_dir, get_session
-from cordon.sources import inventory, raw, sinks
+from cordon.sources import raw
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -29,44 +29,23 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--out")
     ap.add_argument("--phase", default="all", choices=["all", "trips", "rollup", "results"])
     ap.add_argument("--incremental", action="store_true")
-    ap.add_argument("--keep-unified", action="store_true")
+    ap.add_argument("--month-salt", type=int)
     return ap.parse_args(argv)
 
 
 def run(spark, args: argparse.Namespace, cfg=DEFAULT_CONFIG) -> audit.AuditTables:
     root = (args.out or f"{ensure_checkpoint_dir(spark).rstrip('/')}/cordon").rstrip("/")
     tables = audit.AuditTables(root)
-    raw_by_type = raw.read_raw_sources(spark, {"yellow": args.yellow, "green": args.green})
     zones = raw.read_zones(spark, args.zones, args.zones_format)
     weather = raw.read_weather(spark, args.weather, args.weather_format) if args.weather else None
-
     if args.phase in ("all", "trips"):
-        unified = unify.unify_all(raw_by_type, cfg.column_maps)
-        if args.incremental:
-            # File-level increments: list the raw files (metadata only), keep those whose trips are
-            # not in the labelled table, and read just those. The list is bounded by the file count.
-            paths = {"yellow": args.yellow, "green": args.green}
-            files = inventory.source_files(spark, paths)
-            try:
-                files = inventory.unprocessed_files(files, audit.read_labelled(spark, tables))
-            except Exception:  # no labelled table yet: every file is new
-                pass
-            todo = {t: [r.file_path for r in files.filter(files.taxi_type == t).select("file_path").collect()]
-                    for t in paths}
-            new_raw = {t: raw.read_trip_files(spark, ps) for t, ps in todo.items() if ps}
-            if new_raw:
-                audit.write_labelled(unify.unify_all(new_raw, cfg.column_maps), cfg, tables, append=True)
-        elif args.keep_unified:
-            audit.write_unified(raw_by_type, cfg, tables)
-            audit.write_labelled(audit.read_unified(spark, tables), cfg, tables)
-        else:
-            audit.write_labelled(unified, cfg, tables)
+        audit.ingest(spark, {"yellow": args.yellow, "green": args.green}, cfg, tables, full=not args.incremental,
+                     month_salt=args.month_salt)
     ids = None
     if args.phase in ("all", "rollup"):
-        ids = audit.write_zone_daily(audit.read_clean(spark, tables), zones, cfg, tables)
+        ids = audit.write_zone_daily(spark, zones, cfg, tables)
     if args.phase in ("all", "results"):
-        for name, df in audit.results(spark, tables, zones, weather, cfg, zone_ids=ids).items():
-            sinks.write_result(df.repartition(1), tables.result(name))
+        audit.write_results(spark, tables, zones, weather, cfg, zone_ids=ids)
     return tables
 
 

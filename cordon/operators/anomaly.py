@@ -38,30 +38,52 @@ def ghost_trips(flagged: DataFrame) -> DataFrame:
     return flagged.filter(F.col("ghost_flag") != CLEAN_LABEL)
 
 
-def ghost_stats(flagged: DataFrame) -> DataFrame:
+HUB_KEYS = ("source_file", "taxi_type", "ghost_flag")
+_MEASURES = {"speed_mph": "speed", "fare": "fare", "trip_distance": "distance", "duration_seconds": "duration"}
+
+
+def anomaly_hub(flagged: DataFrame) -> DataFrame:
+    """Counts and sums per source file, type and label: one pass over the trips, one row per file and
+    label, from which all split statistics follow."""
+    return flagged.groupBy(*HUB_KEYS).agg(
+        F.count(F.lit(1)).alias("trip_count"),
+        *[f(c).alias(f"{name}_{kind}") for c, name in _MEASURES.items() for kind, f in (("sum", F.sum), ("n", F.count))])
+
+
+def _mean(name: str):
+    """Mean from the sums and counts of hub rows."""
+    return metric(F.sum(F.col(f"{name}_sum").cast("double")) / F.nullif(F.sum(f"{name}_n"), F.lit(0).cast("long")))
+
+
+def ghost_stats(hub: DataFrame) -> DataFrame:
     """Per source file and label (clean included): count and rounded means."""
     return (
-        flagged.groupBy("source_file", "taxi_type", "ghost_flag")
+        hub.groupBy(*HUB_KEYS)
         .agg(
-            F.count(F.lit(1)).alias("trip_count"),
-            metric(F.avg("speed_mph")).alias("avg_speed_mph"),
-            metric(F.avg("fare")).alias("avg_fare"),
-            metric(F.avg("trip_distance")).alias("avg_distance"),
+            F.sum("trip_count").alias("trip_count"),
+            _mean("speed").alias("avg_speed_mph"),
+            _mean("fare").alias("avg_fare"),
+            _mean("distance").alias("avg_distance"),
         )
         .orderBy(F.col("source_file"), F.col("trip_count").desc(), F.col("ghost_flag"))
     )
 
 
-def ghost_totals(flagged: DataFrame) -> DataFrame:
+def ghost_totals(hub: DataFrame) -> DataFrame:
     """Run totals per taxi type and over all types: total, clean, ghost, rate and per-rule counts."""
-    label = F.col("ghost_flag")
-    per_rule = [F.count_if(label == g).alias(f"{g}_trips") for g in GHOST_LABELS]
-    out = flagged.rollup("taxi_type").agg(
-        F.count(F.lit(1)).alias("total_trips"),
-        F.count_if(label == CLEAN_LABEL).alias("clean_trips"),
-        F.count_if(label != CLEAN_LABEL).alias("ghost_trips"),
-        *per_rule,
+    label, n = F.col("ghost_flag"), F.col("trip_count")
+
+    def count_of(condition):
+        return F.sum(F.when(condition, n).otherwise(F.lit(0).cast("long")))
+
+    per_type = hub.groupBy("taxi_type").agg(
+        F.sum(n).alias("total_trips"),
+        count_of(label == CLEAN_LABEL).alias("clean_trips"),
+        count_of(label != CLEAN_LABEL).alias("ghost_trips"),
+        *[count_of(label == g).alias(f"{g}_trips") for g in GHOST_LABELS],
     )
+    counts = [c for c in per_type.columns if c != "taxi_type"]
+    out = per_type.rollup("taxi_type").agg(*[F.sum(c).alias(c) for c in counts])  # one row a type
     return out.select(
         F.coalesce(F.col("taxi_type"), F.lit("all")).alias("taxi_type"),
         "total_trips", "clean_trips", "ghost_trips",
@@ -70,16 +92,16 @@ def ghost_totals(flagged: DataFrame) -> DataFrame:
     )
 
 
-def ghost_patterns(ghosts: DataFrame) -> DataFrame:
+def ghost_patterns(hub: DataFrame) -> DataFrame:
     """Ghost-only profile per label, over all files, with mean duration."""
     return (
-        ghosts.groupBy("ghost_flag")
+        hub.filter(F.col("ghost_flag") != CLEAN_LABEL).groupBy("ghost_flag")
         .agg(
-            F.count(F.lit(1)).alias("trip_count"),
-            metric(F.avg("speed_mph")).alias("avg_speed"),
-            metric(F.avg("fare")).alias("avg_fare"),
-            metric(F.avg("trip_distance")).alias("avg_distance"),
-            metric(F.avg("duration_seconds")).alias("avg_duration_sec"),
+            F.sum("trip_count").alias("trip_count"),
+            _mean("speed").alias("avg_speed"),
+            _mean("fare").alias("avg_fare"),
+            _mean("distance").alias("avg_distance"),
+            _mean("duration").alias("avg_duration_sec"),
         )
         .orderBy(F.col("trip_count").desc(), F.col("ghost_flag"))
     )

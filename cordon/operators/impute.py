@@ -73,7 +73,7 @@ def impute_month(clean: DataFrame, cfg: AuditConfig) -> DataFrame:
     return prof.select(
         "taxi_type",
         "day_of_month",
-        count.cast("int").alias("imputed_trip_count"),
+        count.cast("long").alias("imputed_trip_count"),
         weighted("fare").alias("imputed_avg_fare"),
         weighted("total").alias("imputed_avg_total"),
         weighted("distance").alias("imputed_avg_distance"),

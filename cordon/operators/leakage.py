@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from cordon.config import CROSS_BORDER, AuditConfig
 from cordon.functions.trip import metric, pct
-from cordon.operators.zones import cross_border_after
 
 
 def leakage_summary(rollup: DataFrame, cfg: AuditConfig) -> DataFrame:
@@ -26,16 +25,14 @@ def leakage_summary(rollup: DataFrame, cfg: AuditConfig) -> DataFrame:
     )
 
 
-def top_leakage_pickups(classified: DataFrame, cfg: AuditConfig) -> DataFrame:
-    """The k pickup locations with most cross-border trips lacking the surcharge after the start.
-
-    Aggregated per location first (one row per location), then a distributed take-ordered; the
-    rank is numbered over the k surviving rows only.
+def top_leakage_pickups(hub: DataFrame, cfg: AuditConfig) -> DataFrame:
+    """The k pickup locations with most cross-border trips lacking the surcharge after the start, from the
+    location hub: aggregated per location, then a distributed take-ordered; the rank is numbered over the
+    k surviving rows only.
     """
-    s = F.col("congestion_surcharge")
-    per_loc = cross_border_after(classified, cfg).groupBy("pickup_loc").agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        F.count_if(s.isNull() | (s == 0)).alias("trips_without_surcharge"),
+    per_loc = hub.filter(F.col("zone_category").isin(*CROSS_BORDER)).groupBy("pickup_loc").agg(
+        F.sum("trip_count").alias("trip_count"),
+        F.sum("trips_without_surcharge").alias("trips_without_surcharge"),
     )
     order = [F.col("trips_without_surcharge").desc(), F.col("pickup_loc").asc()]
     top = per_loc.orderBy(*order).limit(cfg.top_leakage_k)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cordon.config import CROSS_BORDER, ENTERING, EXITING, AuditConfig
+from cordon.config import ENTERING, EXITING, AuditConfig
 from cordon.functions.trip import (
     after_start, metric, pct, surcharge_missing, surcharge_paid, trip_date, zone_category,
 )
@@ -91,6 +91,46 @@ def zone_daily(classified: DataFrame) -> DataFrame:
     ).agg(*rollup_measures())
 
 
+# -- mergeable form: sums and counts of any set of trips, so that increments and micro-batches add up ----
+
+PARTIAL_SUMS = ("trip_count", "fare_sum", "fare_n", "total_sum", "total_n", "distance_sum", "distance_n",
+                "total_congestion_collected", "trips_with_surcharge", "trips_without_surcharge")
+
+
+def zone_daily_partials(classified: DataFrame) -> DataFrame:
+    """Partial rollup (sums and counts) of a set of classified trips."""
+    s0 = F.coalesce(F.col("congestion_surcharge"), F.lit(0.0))
+    return classified.groupBy(
+        trip_date(F.col("pickup_time")).alias("trip_date"), "zone_category", "after_congestion_start"
+    ).agg(
+        F.count(F.lit(1)).alias("trip_count"),
+        F.sum("fare").alias("fare_sum"), F.count("fare").alias("fare_n"),
+        F.sum("total_amount").alias("total_sum"), F.count("total_amount").alias("total_n"),
+        F.sum("trip_distance").alias("distance_sum"), F.count("trip_distance").alias("distance_n"),
+        F.sum(s0).alias("total_congestion_collected"),
+        *_surcharge_measures(),
+    )
+
+
+def zone_daily_from_partials(partials: DataFrame) -> DataFrame:
+    """The zone-day rollup from any number of partial rows per key (same columns as ``zone_daily``)."""
+    m = partials.groupBy(*ROLLUP_KEYS).agg(*[F.sum(c).alias(c) for c in PARTIAL_SUMS])
+
+    def mean(s, n):
+        return F.col(s) / F.nullif(F.col(n), F.lit(0).cast("long"))
+
+    return m.select(
+        *ROLLUP_KEYS,
+        "trip_count",
+        mean("fare_sum", "fare_n").alias("avg_fare"),
+        mean("total_sum", "total_n").alias("avg_total"),
+        mean("distance_sum", "distance_n").alias("avg_distance"),
+        "total_congestion_collected",
+        (F.col("total_congestion_collected") / F.col("trip_count")).alias("avg_congestion_surcharge"),
+        "trips_with_surcharge", "trips_without_surcharge",
+    )
+
+
 def zone_daily_report(rollup: DataFrame) -> DataFrame:
     """The rollup with its doubles at reporting precision (for display and comparison)."""
     doubles = ["avg_fare", "avg_total", "avg_distance", "total_congestion_collected", "avg_congestion_surcharge"]
@@ -109,38 +149,44 @@ def zone_summary(classified: DataFrame) -> DataFrame:
     )
 
 
-def _top_locations(trips: DataFrame, key: str, k: int) -> DataFrame:
+LOCATION_KEYS = ("pickup_loc", "dropoff_loc", "zone_category")
+
+
+def location_hub(classified: DataFrame, cfg: AuditConfig) -> DataFrame:
+    """Counts and sums of the trips after the start per pair of locations and category: one pass, and a
+    row per pair that occurs (the location dimension squared at most). All location reports read it."""
+    after = since_start(classified, cfg.policy_start).filter(F.col("after_congestion_start") == 1)
+    return after.groupBy(*LOCATION_KEYS).agg(
+        F.count(F.lit(1)).alias("trip_count"), F.sum("fare").alias("fare_sum"), F.count("fare").alias("fare_n"),
+        *_surcharge_measures())
+
+
+def _top_locations(hub: DataFrame, key: str, k: int) -> DataFrame:
     """Top-k locations by trip count (ties broken by location id): a distributed take-ordered."""
-    agg = trips.groupBy(key).agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        metric(F.avg("fare")).alias("avg_fare"),
-        *_surcharge_measures(),
+    agg = hub.groupBy(key).agg(
+        F.sum("trip_count").alias("trip_count"),
+        metric(F.sum("fare_sum") / F.nullif(F.sum("fare_n"), F.lit(0).cast("long"))).alias("avg_fare"),
+        *[F.sum(c).alias(c) for c in ("trips_with_surcharge", "trips_without_surcharge")],
     )
     agg = agg.withColumn("compliance_pct", pct(F.col("trips_with_surcharge"), F.col("trip_count")))
     return agg.orderBy(F.col("trip_count").desc(), F.col(key).asc()).limit(k)
 
 
-def top_pickups_entering(classified: DataFrame, cfg: AuditConfig) -> DataFrame:
+def top_pickups_entering(hub: DataFrame, cfg: AuditConfig) -> DataFrame:
     """Pickup locations of trips entering the zone after the start (the stated intent)."""
-    t = since_start(classified, cfg.policy_start)
-    t = t.filter((F.col("after_congestion_start") == 1) & (F.col("zone_category") == ENTERING))
-    return _top_locations(t, "pickup_loc", cfg.top_k)
+    return _top_locations(hub.filter(F.col("zone_category") == ENTERING), "pickup_loc", cfg.top_k)
 
 
-def top_pickups_same_loc(classified: DataFrame, cfg: AuditConfig) -> DataFrame:
+def top_pickups_same_loc(hub: DataFrame, cfg: AuditConfig) -> DataFrame:
     """The same report as the audited SQL evaluates it: its subquery binds ``pickup_loc`` to the
     outer row, so the membership test reduces to ``dropoff_loc = pickup_loc`` (the rollup it reads
     is non-empty exactly when there are clean trips)."""
-    t = since_start(classified, cfg.policy_start)
-    t = t.filter((F.col("after_congestion_start") == 1) & (F.col("dropoff_loc") == F.col("pickup_loc")))
-    return _top_locations(t, "pickup_loc", cfg.top_k)
+    return _top_locations(hub.filter(F.col("dropoff_loc") == F.col("pickup_loc")), "pickup_loc", cfg.top_k)
 
 
-def top_dropoffs_exiting(classified: DataFrame, cfg: AuditConfig) -> DataFrame:
+def top_dropoffs_exiting(hub: DataFrame, cfg: AuditConfig) -> DataFrame:
     """Dropoff locations of trips leaving the zone after the start."""
-    t = since_start(classified, cfg.policy_start)
-    t = t.filter((F.col("after_congestion_start") == 1) & (F.col("zone_category") == EXITING))
-    return _top_locations(t, "dropoff_loc", cfg.top_k)
+    return _top_locations(hub.filter(F.col("zone_category") == EXITING), "dropoff_loc", cfg.top_k)
 
 
 def _pattern(classified: DataFrame, bucket) -> DataFrame:
@@ -159,9 +205,3 @@ def zone_hourly(classified: DataFrame) -> DataFrame:
 def zone_dow(classified: DataFrame) -> DataFrame:
     """Trips by pickup day of week (1 = Sunday .. 7 = Saturday), category and period."""
     return _pattern(classified, F.dayofweek("pickup_time").alias("pickup_dow"))
-
-
-def cross_border_after(classified: DataFrame, cfg: AuditConfig) -> DataFrame:
-    return since_start(classified, cfg.policy_start).filter(
-        (F.col("after_congestion_start") == 1) & F.col("zone_category").isin(*CROSS_BORDER)
-    )

@@ -1,24 +1,26 @@
-"""The whole audit as a sequence of Spark jobs over partitioned tables.
+"""The whole audit as a sequence of Spark jobs over written tables.
 
 Phases hand over through Parquet tables in the shared folder (``spark.checkpoint.dir`` or a given
 output root), never through the driver:
 
-1. ``trips``    - raw files of every type -> unified schema -> labelled trips, in one job, partitioned
-                  by (taxi_type, year, month, split) with split 'clean' or 'ghost': one scan and one
-                  write give both the clean set and the audit trail, and each reader opens only its
-                  split. (``unified`` - the unified table alone - is written only on request: nothing
-                  downstream needs it, and at scale it would be a full extra write and read.)
-3. ``zone_daily`` - clean trips -> classified -> the (day, category, period) rollup, written once;
-                  every chart, key figure, leakage and weather result reads this small table.
-
-A full run overwrites each table in one commit; an incremental run (new months only) uses dynamic
-partition overwrite and replaces exactly the months it writes. Either way a phase that fails (or
-loses executors beyond Spark's task retries) is simply rerun. The written tables cut the lineage: a
-later phase never recomputes an earlier one.
+1. ``trips``  - raw files of every type -> unified schema -> labelled trips, in one job, under
+                ``run_id=<run>/split=clean|ghost/year/month``: one scan and one write give both the clean
+                set and the audit trail. The run then enters the manifest (``sources/manifest.py``), which
+                makes it visible. A full run replaces all earlier ones; an increment adds its files.
+2. ``zone_daily`` - per run, the clean trips -> classified -> partial rollup by (day, category, period),
+                written once a run; the rollup is the sum of the published runs' partials, so an
+                increment reads its own trips only. Every chart, key figure, leakage and weather result
+                reads this small table.
+3. ``results`` - the anomaly hub and the location hub (one pass each) and everything that follows from
+                them and from the rollup.
+
+A phase that fails (or loses executors beyond Spark's task retries) is simply rerun: trips of a run
+that was not published are never read. The written tables cut the lineage.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -26,7 +28,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cordon.config import CLEAN_LABEL, UNIFIED_COLUMNS, AuditConfig
 from cordon.operators import anomaly, compare, impute, kpi, leakage, series, unify, weather, zones
-from cordon.sources import sinks
+from cordon.operators.joins import row_count_at_most
+from cordon.sources import inventory, manifest, raw, schema, sinks
+
+RUN_COLUMNS = [*UNIFIED_COLUMNS, "taxi_type", "year", "month"]
 
 
 @dataclass(frozen=True)
@@ -41,50 +46,134 @@ class AuditTables:
     def trips(self) -> str:
         return f"{self.root}/trips"
 
+    @property
+    def manifest(self) -> str:
+        return f"{self.root}/manifest"
+
+    @property
+    def partials(self) -> str:
+        return f"{self.root}/zone_daily_partials"
+
     @property
     def zone_daily(self) -> str:
         return f"{self.root}/zone_daily"
 
+    def run(self, run_id: str) -> str:
+        return f"{self.trips}/run_id={run_id}"
+
     def result(self, name: str) -> str:
         return f"{self.root}/results/{name}"
 
 
 # -- phase 1 ---------------------------------------------------------------------------------
 
-def write_unified(raw_by_type: Mapping[str, DataFrame], cfg: AuditConfig, tables: AuditTables) -> None:
-    sinks.write_trips(unify.unify_all(raw_by_type, cfg.column_maps), tables.unified)
-
-
-# -- phase 2 ---------------------------------------------------------------------------------
-
-def write_labelled(unified: DataFrame, cfg: AuditConfig, tables: AuditTables, dynamic: bool = False,
-                   append: bool = False) -> None:
-    """Label ``unified`` (a table or the lazy unification of raw files) and write both splits.
-
-    ``dynamic=True`` replaces only the months present in ``unified``; ``append=True`` adds the
-    trips of new source files (the job commit is atomic, so a failed run leaves nothing behind)."""
+def write_run(unified: DataFrame, cfg: AuditConfig, tables: AuditTables, run_id: str,
+              month_salt: int | None = None) -> None:
+    """Label ``unified`` and write both splits under the run's own folder (not visible yet)."""
     flagged = anomaly.flag_trips(unified, cfg)
     split = F.when(F.col("ghost_flag") == CLEAN_LABEL, F.lit("clean")).otherwise(F.lit("ghost"))
-    sinks.write_trips(flagged.withColumn("split", split), tables.trips,
-                      partition_by=(*sinks.TRIP_PARTITIONS, "split"), dynamic=dynamic, append=append)
+    sinks.write_trips(flagged.withColumn("split", split), tables.run(run_id), month_salt=month_salt)
+
+
+def write_labelled(unified: DataFrame, cfg: AuditConfig, tables: AuditTables, month_salt: int | None = None) -> str:
+    """A full run from a frame instead of files; returns its run id."""
+    run_id, started = manifest.new_run_id(), time.time_ns()
+    write_run(unified, cfg, tables, run_id, month_salt)
+    kept = unified.sparkSession.read.parquet(tables.run(run_id)).count()
+    manifest.publish(unified.sparkSession, tables.manifest,
+                     [(run_id, started, True, None, None, None, None, kept, kept, True, None)])
+    return run_id
+
+
+def _readable(spark: SparkSession, files: list, cfg: AuditConfig) -> tuple[dict[str, int], dict[str, str]]:
+    """Rows per file (from the footers), and the files whose footer cannot be read."""
+    paths = [f["file_path"] for f in files]
+    if not paths:
+        return {}, {}
+    try:
+        return {r["file_path"]: r["rows_read"] for r in raw.row_counts(spark, paths).collect()}, {}
+    except raw.READ_ERRORS:
+        bad = {}
+        for f in files:
+            bad.update(raw.unreadable_files(spark, [f["file_path"]], f["taxi_type"], cfg.column_maps))
+        good = [p for p in paths if p not in bad]
+        if len(good) == len(paths):
+            raise
+        rows = raw.row_counts(spark, good).collect() if good else []
+        return {r["file_path"]: r["rows_read"] for r in rows}, bad
+
+
+def ingest(spark: SparkSession, paths: Mapping[str, str], cfg: AuditConfig, tables: AuditTables,
+           full: bool = True, month_salt: int | None = None) -> str | None:
+    """Take the raw files (all, or those no published run has) in one run; None if there is nothing new.
+
+    Every listed file gets a manifest row: an unreadable or empty file, and one whose rows all lack a
+    required column, is reported as invalid with the reason, and the others go on. The driver holds the
+    list of files only."""
+    listed = manifest.list_files(spark, paths)
+    if not full:
+        listed = manifest.new_files(listed, manifest.read(spark, tables.manifest))
+    files = listed.orderBy("taxi_type", "file_path").collect()  # one row a file
+    if not files:
+        if full:
+            raise ValueError(f"no trip files under {sorted(paths.values())}")
+        return None
+    rows_read, bad = _readable(spark, files, cfg)
+
+    def attempt() -> tuple[str, int]:
+        run_id, started = manifest.new_run_id(), time.time_ns()
+        todo = {t: [f["file_path"] for f in files if f["taxi_type"] == t and rows_read.get(f["file_path"])] for t in paths}
+        frames = raw.read_raw_sources(spark, todo, cfg.column_maps)
+        if frames:
+            write_run(unify.unify_all(frames, cfg.column_maps), cfg, tables, run_id, month_salt)
+        return run_id, started
+
+    try:
+        run_id, started = attempt()
+    except raw.READ_ERRORS:
+        # Data pages can be damaged behind a sound footer: find such files, leave them out, try once more.
+        for f in files:
+            if f["file_path"] not in bad:
+                bad.update(raw.unreadable_files(spark, [f["file_path"]], f["taxi_type"], cfg.column_maps))
+        if not any(rows_read.pop(p, 0) for p in list(bad)):
+            raise
+        run_id, started = attempt()
+    kept = {}
+    if manifest.exists(spark, tables.run(run_id)):
+        written = spark.read.option("basePath", tables.run(run_id)).parquet(tables.run(run_id))
+        if "file_path" in written.columns:
+            kept = {r["file_path"]: r["n"] for r in written.groupBy("file_path").agg(F.count(F.lit(1)).alias("n")).collect()}
+    unknown = set(kept) - {f["file_path"] for f in files}
+    if unknown:
+        raise RuntimeError(f"trips from files that were not listed: {sorted(unknown)[:5]}")
+    rows = []
+    for f in files:
+        p = f["file_path"]
+        n, k = rows_read.get(p, 0), kept.get(p, 0)
+        reason = bad.get(p) or ("empty" if not n else None if k else "no row has all required columns")
+        rows.append((run_id, started, full, f["taxi_type"], p, f["file_size"], f["modified"], n, k, reason is None, reason))
+    manifest.publish(spark, tables.manifest, rows)
+    return run_id
 
 
-def read_unified(spark: SparkSession, tables: AuditTables) -> DataFrame:
-    return spark.read.parquet(tables.unified)
+def read_labelled(spark: SparkSession, tables: AuditTables) -> DataFrame:
+    """Trips of the published runs."""
+    return read_runs(spark, tables, manifest.published_runs(manifest.read(spark, tables.manifest)))
 
 
-def read_labelled(spark: SparkSession, tables: AuditTables) -> DataFrame:
-    return spark.read.parquet(tables.trips)
+def read_runs(spark: SparkSession, tables: AuditTables, run_ids: list[str]) -> DataFrame:
+    if not run_ids:
+        raise ValueError(f"no published trips under {tables.root}")
+    return spark.read.option("basePath", tables.trips).parquet(*[tables.run(r) for r in run_ids])
 
 
 def clean_split(labelled: DataFrame) -> DataFrame:
     """Clean trips: the unified columns plus type and month partitions (split 'clean' only)."""
-    t = labelled.filter(F.col("split") == "clean")
-    return t.select(*UNIFIED_COLUMNS, "taxi_type", "year", "month")
+    return labelled.filter(F.col("split") == "clean").select(*RUN_COLUMNS)
 
 
 def ghost_split(labelled: DataFrame) -> DataFrame:
-    return labelled.filter(F.col("split") == "ghost").drop("split")
+    return labelled.filter(F.col("split") == "ghost").drop("split", "run_id")
 
 
 def read_clean(spark: SparkSession, tables: AuditTables) -> DataFrame:
@@ -95,21 +184,30 @@ def read_ghost(spark: SparkSession, tables: AuditTables) -> DataFrame:
     return ghost_split(read_labelled(spark, tables))
 
 
-# -- phase 3 ---------------------------------------------------------------------------------
+# -- phase 2 ---------------------------------------------------------------------------------
 
 def zone_ids_of(zone_table: DataFrame, cfg: AuditConfig) -> DataFrame:
-    """The tolled zone's ids, size-checked once per run and shared by every phase that needs them."""
-    return zones.zone_id_set(zones.congestion_zones(zone_table, cfg), cfg)
+    """The tolled zone's ids, size-checked once per run and shared by every phase that needs them. A zone
+    table without any is refused: every trip would count as outside the zone."""
+    found = zones.congestion_zones(zone_table, cfg)
+    if row_count_at_most(found, 0):
+        raise ValueError(f"the zone table names no zone of {cfg.zone_borough!r} with the configured keywords")
+    return zones.zone_id_set(found, cfg)
 
 
-def write_zone_daily(clean: DataFrame, zone_table: DataFrame, cfg: AuditConfig, tables: AuditTables,
+def write_zone_daily(spark: SparkSession, zone_table: DataFrame, cfg: AuditConfig, tables: AuditTables,
                      zone_ids: DataFrame | None = None) -> DataFrame:
-    """Write the zone-day rollup; returns the zone-id set it used."""
+    """Write the partial rollup of each published run that has none, then their sum; returns the zone-id
+    set. (Another zone table takes a full run: partials of published runs are not computed again.)"""
     ids = zone_ids if zone_ids is not None else zone_ids_of(zone_table, cfg)
-    rollup = zones.zone_daily(zones.classify(clean, ids, cfg))
-    # One row per (day, category, period). The final aggregation stays parallel; only its small
-    # output is gathered into one file (a coalesce here would pull the final aggregation into one task).
-    sinks.write_result(rollup.repartition(1), tables.zone_daily)
+    runs = manifest.published_runs(manifest.read(spark, tables.manifest))
+    for run_id in runs:
+        path = f"{tables.partials}/run_id={run_id}"
+        if not manifest.exists(spark, f"{path}/_SUCCESS"):
+            clean = clean_split(read_runs(spark, tables, [run_id]))
+            sinks.write_result(zones.zone_daily_partials(zones.classify(clean, ids, cfg)), path)
+    partials = spark.read.parquet(*[f"{tables.partials}/run_id={r}" for r in runs])
+    sinks.write_result(zones.zone_daily_from_partials(partials), tables.zone_daily)
     return ids
 
 
@@ -117,19 +215,51 @@ def read_zone_daily(spark: SparkSession, tables: AuditTables) -> DataFrame:
     return spark.read.parquet(tables.zone_daily)
 
 
-# -- results -----------------------------------------------------------------------------------
+# -- phase 3 -----------------------------------------------------------------------------------
+
+HUBS = ("anomaly_hub", "location_hub")
+# Results whose rows come in an order, which their files keep.
+ORDERED = ("ghost_stats", "ghost_patterns", "missing_months", "file_report", "zone_summary", "top_pickups_entering",
+           "top_pickups_same_loc", "top_dropoffs_exiting", "top_leakage_pickups", "congestion_zone_sample")
+
+
+def write_hubs(spark: SparkSession, tables: AuditTables, zone_ids: DataFrame, cfg: AuditConfig) -> None:
+    """One pass over all labelled trips, and one over the clean trips after the start."""
+    labelled = read_labelled(spark, tables)
+    sinks.write_result(anomaly.anomaly_hub(labelled), tables.result("anomaly_hub"))
+    classified = zones.classify(clean_split(labelled), zone_ids, cfg)
+    sinks.write_result(zones.location_hub(classified, cfg), tables.result("location_hub"))
+
 
 def results(spark: SparkSession, tables: AuditTables, zone_table: DataFrame, weather_table: DataFrame | None,
             cfg: AuditConfig, zone_ids: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Lazy result frames over the written tables (nothing runs until each is collected or written)."""
+    """Lazy result frames over the written tables and hubs."""
     rollup = read_zone_daily(spark, tables)
     labelled = read_labelled(spark, tables)  # listed once; both splits are pruned views of it
-    clean = clean_split(labelled)
-    ghosts = ghost_split(labelled)
+    clean, ghosts = clean_split(labelled), ghost_split(labelled)
+    hub, places = (spark.read.parquet(tables.result(h)) for h in HUBS)
+    ids = zone_ids if zone_ids is not None else zone_ids_of(zone_table, cfg)
+    classified = zones.classify(clean, ids, cfg)
+    report = manifest.file_report(manifest.read(spark, tables.manifest))
+    counts = inventory.counts_by_file(report)
+    need = inventory.impute_needed(counts, cfg)
+    zones_found = zones.congestion_zones(zone_table, cfg)
     out = {
-        "ghost_stats": anomaly.ghost_stats(labelled),
-        "ghost_totals": anomaly.ghost_totals(labelled),
-        "ghost_patterns": anomaly.ghost_patterns(ghosts),
+        "file_report": report,
+        "source_row_counts": counts,
+        "missing_months": inventory.missing_months(spark, counts, cfg),
+        "impute_needed": need,
+        "schema_check": schema.schema_check(labelled.select(*UNIFIED_COLUMNS)),
+        "ghost_stats": anomaly.ghost_stats(hub),
+        "ghost_totals": anomaly.ghost_totals(hub),
+        "ghost_patterns": anomaly.ghost_patterns(hub),
+        "ghost_by_hour_dow": anomaly.ghost_by_hour_dow(ghosts),
+        "ghost_by_location": anomaly.ghost_by_location(ghosts),
+        "congestion_zones": zones_found,
+        "congestion_zone_sample": zones.zone_name_sample(zones_found),
+        "zone_summary": zones.zone_summary(classified),
+        "zone_hourly": zones.zone_hourly(classified),
+        "zone_dow": zones.zone_dow(classified),
         "daily_trips": series.daily_trips(rollup),
         "revenue_daily_cumulative": series.revenue_daily_cumulative(rollup),
         "zone_period": series.zone_period(rollup, cfg),
@@ -138,34 +268,53 @@ def results(spark: SparkSession, tables: AuditTables, zone_table: DataFrame, wea
         "zone_period_pivot": series.zone_period_pivot(rollup),
         "leakage_summary": leakage.leakage_summary(rollup, cfg),
         "kpi_overview": kpi.kpi_overview(rollup, cfg),
+        "quarter_stats": compare.quarter_stats(clean, cfg),
         "quarter_comparison": compare.quarter_comparison(clean, cfg),
         "market_share_shift": compare.market_share_shift(clean, cfg),
-        "impute_month": impute.impute_month(clean, cfg),
+        "top_pickups_entering": zones.top_pickups_entering(places, cfg),
+        "top_pickups_same_loc": zones.top_pickups_same_loc(places, cfg),
+        "top_dropoffs_exiting": zones.top_dropoffs_exiting(places, cfg),
+        "top_leakage_pickups": leakage.top_leakage_pickups(places, cfg),
     }
-    ids = zone_ids if zone_ids is not None else zone_ids_of(zone_table, cfg)
-    classified = zones.classify(clean, ids, cfg)
-    out["top_pickups_entering"] = zones.top_pickups_entering(classified, cfg)
-    out["top_pickups_same_loc"] = zones.top_pickups_same_loc(classified, cfg)
-    out["top_leakage_pickups"] = leakage.top_leakage_pickups(classified, cfg)
+    # The month is imputed only while no valid file of it is there for every type (one row decides).
+    # A run from frames lists no files; there the trips themselves say whether the month is complete.
+    if report.isEmpty():
+        target = clean.filter((F.col("year") == cfg.impute_year) & (F.col("month") == cfg.impute_month))
+        wanted = target.select("taxi_type").distinct().count() < len(cfg.taxi_types)
+    else:
+        wanted = need.collect()[0]["needs_imputation"]
+    if wanted:
+        out["month_profile"] = impute.month_profile(clean, cfg)
+        out["impute_month"] = impute.impute_month(clean, cfg)
+        out["impute_total"] = impute.impute_total(out["impute_month"])
     if weather_table is not None:
         joined = weather.weather_joined(rollup, weather_table, cfg)
         out["weather_joined"] = weather.weather_joined_report(joined)
         out["weather_correlation"] = weather.weather_correlation(joined)
         out["rain_effect"] = weather.rain_effect(joined)
+        out["precip_elasticity"] = weather.precip_elasticity(joined)
+        out["rain_compliance"] = weather.rain_compliance(rollup, weather_table, cfg)
     return out
 
 
+def write_results(spark: SparkSession, tables: AuditTables, zone_table: DataFrame, weather_table: DataFrame | None,
+                  cfg: AuditConfig, zone_ids: DataFrame | None = None) -> None:
+    ids = zone_ids if zone_ids is not None else zone_ids_of(zone_table, cfg)
+    write_hubs(spark, tables, ids, cfg)
+    for name, df in results(spark, tables, zone_table, weather_table, cfg, zone_ids=ids).items():
+        sinks.write_result(df, tables.result(name), ordered=name in ORDERED)
+
+
 def run_audit(spark: SparkSession, raw_by_type: Mapping[str, DataFrame], zone_table: DataFrame,
               weather_table: DataFrame | None, root: str, cfg: AuditConfig,
               keep_unified: bool = False) -> AuditTables:
-    """Run every phase and write every result under ``root``."""
+    """Run every phase on raw frames and write every result under ``root``."""
     tables = AuditTables(root.rstrip("/"))
+    unified = unify.unify_all(raw_by_type, cfg.column_maps)
     if keep_unified:
-        write_unified(raw_by_type, cfg, tables)
-        write_labelled(read_unified(spark, tables), cfg, tables)
-    else:
-        write_labelled(unify.unify_all(raw_by_type, cfg.column_maps), cfg, tables)
-    ids = write_zone_daily(read_clean(spark, tables), zone_table, cfg, tables)
-    for name, df in results(spark, tables, zone_table, weather_table, cfg, zone_ids=ids).items():
-        sinks.write_result(df.repartition(1), tables.result(name))
+        unified.write.mode("overwrite").parquet(tables.unified)
+        unified = spark.read.parquet(tables.unified)
+    write_labelled(unified, cfg, tables)
+    ids = write_zone_daily(spark, zone_table, cfg, tables)
+    write_results(spark, tables, zone_table, weather_table, cfg, zone_ids=ids)
     return tables

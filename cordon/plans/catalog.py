@@ -25,13 +25,17 @@ def raw_by_type(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 
 
 def unified(spark: SparkSession, d: str) -> DataFrame:
-    return unify.unify_all(raw_by_type(spark, d), CFG.column_maps)
+    return unify.unify_tagged(fixture.raw_tagged(spark, d), CFG.column_maps)
 
 
 def flagged(spark: SparkSession, d: str) -> DataFrame:
     return anomaly.flag_trips(unified(spark, d), CFG)
 
 
+def hub(spark: SparkSession, d: str) -> DataFrame:
+    return anomaly.anomaly_hub(flagged(spark, d))
+
+
 def clean(spark: SparkSession, d: str) -> DataFrame:
     return anomaly.clean_trips(flagged(spark, d))
 
@@ -48,6 +52,10 @@ def classified(spark: SparkSession, d: str) -> DataFrame:
     return zones.classify(clean(spark, d), zone_ids(spark, d), CFG)
 
 
+def places(spark: SparkSession, d: str) -> DataFrame:
+    return zones.location_hub(classified(spark, d), CFG)
+
+
 def rollup(spark: SparkSession, d: str) -> DataFrame:
     return zones.zone_daily(classified(spark, d))
 
@@ -68,17 +76,20 @@ QUERIES: dict[str, Query] = {
     "missing_months": lambda s, d: inventory.missing_months(s, counts(s, d), CFG),
     "impute_needed": lambda s, d: inventory.impute_needed(counts(s, d), CFG),
     "schema_check": lambda s, d: schema.schema_check(unified(s, d).drop("taxi_type", "source_file")),
+    "raw_schema_check": lambda s, d: schema.raw_schema_check(raw_by_type(s, d)),
+    "file_inventory": lambda s, d: inventory.source_row_counts(raw_by_type(s, d), inventory.expected_files(s, CFG)),
     # unification
     "unify_yellow": lambda s, d: unify.unify(fixture.raw_trips(s, d, "yellow"), CFG.column_maps["yellow"], "yellow"),
     "unify_green": lambda s, d: unify.unify(fixture.raw_trips(s, d, "green"), CFG.column_maps["green"], "green"),
-    "unify_all": lambda s, d: unified(s, d),
+    "unify_all": lambda s, d: unify.unify_all(raw_by_type(s, d), CFG.column_maps),
+    "unify_tagged": lambda s, d: unified(s, d),
     # anomaly split
     "ghost_flags": lambda s, d: flagged(s, d),
     "clean_trips": lambda s, d: clean(s, d),
     "ghost_trips": lambda s, d: ghosts(s, d),
-    "ghost_stats": lambda s, d: anomaly.ghost_stats(flagged(s, d)),
-    "ghost_totals": lambda s, d: anomaly.ghost_totals(flagged(s, d)),
-    "ghost_patterns": lambda s, d: anomaly.ghost_patterns(ghosts(s, d)),
+    "ghost_stats": lambda s, d: anomaly.ghost_stats(hub(s, d)),
+    "ghost_totals": lambda s, d: anomaly.ghost_totals(hub(s, d)),
+    "ghost_patterns": lambda s, d: anomaly.ghost_patterns(hub(s, d)),
     "ghost_by_hour_dow": lambda s, d: anomaly.ghost_by_hour_dow(ghosts(s, d)),
     "ghost_by_location": lambda s, d: anomaly.ghost_by_location(ghosts(s, d)),
     # imputation
@@ -90,15 +101,17 @@ QUERIES: dict[str, Query] = {
     "congestion_zone_sample": lambda s, d: zones.zone_name_sample(zones.congestion_zones(fixture.zones(s, d), CFG)),
     "classify_trips": lambda s, d: classified(s, d),
     "zone_daily": lambda s, d: zones.zone_daily_report(rollup(s, d)),
+    "zone_daily_merged": lambda s, d: zones.zone_daily_report(
+        zones.zone_daily_from_partials(zones.zone_daily_partials(classified(s, d)))),
     "zone_summary": lambda s, d: zones.zone_summary(classified(s, d)),
-    "top_pickups_entering": lambda s, d: zones.top_pickups_entering(classified(s, d), CFG),
-    "top_pickups_same_loc": lambda s, d: zones.top_pickups_same_loc(classified(s, d), CFG),
-    "top_dropoffs_exiting": lambda s, d: zones.top_dropoffs_exiting(classified(s, d), CFG),
+    "top_pickups_entering": lambda s, d: zones.top_pickups_entering(places(s, d), CFG),
+    "top_pickups_same_loc": lambda s, d: zones.top_pickups_same_loc(places(s, d), CFG),
+    "top_dropoffs_exiting": lambda s, d: zones.top_dropoffs_exiting(places(s, d), CFG),
     "zone_hourly": lambda s, d: zones.zone_hourly(classified(s, d)),
     "zone_dow": lambda s, d: zones.zone_dow(classified(s, d)),
     # leakage and key figures
     "leakage_summary": lambda s, d: leakage.leakage_summary(rollup(s, d), CFG),
-    "top_leakage_pickups": lambda s, d: leakage.top_leakage_pickups(classified(s, d), CFG),
+    "top_leakage_pickups": lambda s, d: leakage.top_leakage_pickups(places(s, d), CFG),
     "kpi_overview": lambda s, d: kpi.kpi_overview(rollup(s, d), CFG),
     # period comparison
     "quarter_stats": lambda s, d: compare.quarter_stats(clean(s, d), CFG),

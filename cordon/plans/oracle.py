@@ -170,7 +170,8 @@ FROM classified_fx GROUP BY ALL""")
 
 def _schema_check() -> str:
     parts = []
-    expected = {c: ("timestamp" if "time" in c else "integer" if "loc" in c else "double") for c in UNIFIED_COLUMNS}
+    expected = {"pickup_time": "timestamp", "dropoff_time": "timestamp", "pickup_loc": "integer", "dropoff_loc": "integer",
+                "trip_distance": "double", "fare": "double", "total_amount": "double", "congestion_surcharge": "double"}
     for i, c in enumerate(UNIFIED_COLUMNS):
         parts.append(f"""
 SELECT {i + 1} AS ordinal, '{c}' AS column_name, '{expected[c]}' AS expected_type,
@@ -182,8 +183,40 @@ SELECT {i + 1} AS ordinal, '{c}' AS column_name, '{expected[c]}' AS expected_typ
     return q("\nUNION ALL".join(parts))
 
 
+# Raw columns of each type, the unified type they should have, and the unified column they hold.
+_RAW_COLUMNS = [
+    ("yellow", "tpep_pickup_datetime", "timestamp", "pickup_time"), ("yellow", "tpep_dropoff_datetime", "timestamp", "dropoff_time"),
+    ("green", "lpep_pickup_datetime", "timestamp", "pickup_time"), ("green", "lpep_dropoff_datetime", "timestamp", "dropoff_time"),
+    *[(t, raw, kind, col) for t in ("yellow", "green") for raw, kind, col in (
+        ("PULocationID", "integer", "pickup_loc"), ("DOLocationID", "integer", "dropoff_loc"),
+        ("trip_distance", "double", "trip_distance"), ("fare_amount", "double", "fare"),
+        ("total_amount", "double", "total_amount"), ("congestion_surcharge", "double", "congestion_surcharge"))],
+]
+
+
+def _raw_schema_check() -> str:
+    parts = []
+    for t, raw, kind, col in _RAW_COLUMNS:
+        mine = f"FROM trips_fx WHERE taxi_type = '{t}'"
+        parts.append(f"""
+SELECT '{t}' AS taxi_type, '{raw}' AS column_name, '{kind}' AS expected_type,
+       (SELECT lower(typeof({col})) {mine} LIMIT 1) AS actual_type, TRUE AS is_present,
+       (SELECT lower(typeof({col})) {mine} LIMIT 1) = '{kind}' AS type_ok,
+       (SELECT COUNT({col}) {mine}) AS non_null_count, (SELECT COUNT(*) {mine}) AS row_count""")
+    return q("\nUNION ALL".join(parts))
+
+
 ORACLE: dict[str, str] = {
     "source_row_counts": q("SELECT * FROM counts_fx"),
+    "raw_schema_check": _raw_schema_check(),
+    "file_inventory": q(f"""
+SELECT g.taxi_type, printf('{TRIP_FILE_FORMAT}', g.taxi_type, g.year, g.month) AS source_file,
+       CAST(g.year AS INTEGER) AS year, CAST(g.month AS INTEGER) AS month,
+       coalesce(c.row_count, 0) AS row_count, c.row_count IS NOT NULL AS is_valid
+FROM (SELECT taxi_type, year, unnest(range(1, 13)) AS month
+      FROM (SELECT taxi_type, unnest([{', '.join(str(y) for y in CFG.grid_years)}]) AS year
+            FROM (SELECT unnest([{', '.join(repr(t) for t in CFG.taxi_types)}]) AS taxi_type))) g
+LEFT JOIN counts_fx c ON c.taxi_type = g.taxi_type AND c.year = g.year AND c.month = g.month"""),
     "missing_months": q(f"""
 SELECT taxi_type, CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month,
        printf('{TRIP_FILE_FORMAT}', taxi_type, year, month) AS expected_file
@@ -292,7 +325,7 @@ _DEC_PROFILE = f"""
   SELECT *, ROW_NUMBER() OVER (PARTITION BY taxi_type, day_of_month, side ORDER BY n DESC, loc) AS rk FROM loc_counts
 ), imputed AS (
   SELECT d23.taxi_type, d23.day_of_month,
-         CAST({CFG.weight_older} * d23.trip_count + {CFG.weight_newer} * d24.trip_count AS INTEGER) AS imputed_trip_count,
+         CAST({CFG.weight_older} * d23.trip_count + {CFG.weight_newer} * d24.trip_count AS BIGINT) AS imputed_trip_count,
          ROUND({CFG.weight_older} * d23.avg_fare + {CFG.weight_newer} * d24.avg_fare, 2) AS imputed_avg_fare,
          ROUND({CFG.weight_older} * d23.avg_total + {CFG.weight_newer} * d24.avg_total, 2) AS imputed_avg_total,
          ROUND({CFG.weight_older} * d23.avg_distance + {CFG.weight_newer} * d24.avg_distance, 2) AS imputed_avg_distance,
@@ -474,3 +507,5 @@ SELECT is_rainy_day, COUNT(*) AS days, CAST(SUM(w) AS BIGINT) AS trips_with_surc
        ROUND(100.0 * CAST(SUM(w) AS DOUBLE) / CAST(SUM(w) + SUM(wo) AS DOUBLE), 2) AS compliance_pct
 FROM j GROUP BY is_rainy_day"""),
 })
+ORACLE["unify_tagged"] = ORACLE["unify_all"]
+ORACLE["zone_daily_merged"] = ORACLE["zone_daily"]

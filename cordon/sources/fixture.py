@@ -74,6 +74,24 @@ def raw_trips(spark: SparkSession, sf_dir: str, taxi_type: str) -> DataFrame:
     )
 
 
+def raw_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows of all types in one frame (one read of the trip table): the raw columns of every type, of
+    which a row fills its own type's, ``taxi_type`` and the lineage column."""
+    t = trips(spark, sf_dir)
+    cols = {}
+    for kind, column_map in COLUMN_MAPS.items():
+        for raw_name, unified in column_map.items():
+            cols.setdefault(raw_name, []).append((kind, unified))
+    out = []
+    for raw_name, uses in cols.items():
+        if len(uses) == len(COLUMN_MAPS):
+            out.append(F.col(uses[0][1]).alias(raw_name))
+        else:
+            kind, unified = uses[0]
+            out.append(F.when(F.col("taxi_type") == kind, F.col(unified)).alias(raw_name))
+    return t.select(*out, "taxi_type", source_file_name(F.col("taxi_type"), F.col("pickup_time")).alias("source_file"))
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone dimension: ``LocationID``, ``zone``, ``borough``."""
     nation = _table(spark, sf_dir, "nation")

@@ -1,4 +1,5 @@
-"""Source inventory (S3-S6): what arrived, what is missing, what is left to process.
+"""Source inventory (S3-S5): what arrived, what is missing, whether imputation is needed. Which files
+are left to process (S6) is in ``manifest.py``.
 
 Counting rows per source file is a grouped count (partial aggregation per task, one row per file
 after the shuffle). The expected grid is types x years x months, built with ``sequence``/``explode``
@@ -17,13 +18,17 @@ from cordon.config import TRIP_FILE_FORMAT, AuditConfig
 FILE_MONTH = r"(\d{4})-(\d{2})"
 
 
-def source_row_counts(raw_by_type: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows per source file of each type; a file is valid when it holds at least one row."""
+def source_row_counts(raw_by_type: Mapping[str, DataFrame], listing: DataFrame | None = None) -> DataFrame:
+    """Rows per source file of each type; a file is valid when it holds at least one row. With a
+    ``listing`` (``taxi_type, source_file``) there is one row per listed file, also for files without rows."""
     frames = [df.select(F.lit(t).alias("taxi_type"), "source_file") for t, df in raw_by_type.items()]
     stacked = frames[0]
     for f in frames[1:]:
         stacked = stacked.unionByName(f)
     counts = stacked.groupBy("taxi_type", "source_file").agg(F.count(F.lit(1)).alias("row_count"))
+    if listing is not None:
+        counts = listing.join(counts, ["taxi_type", "source_file"], "left") \
+            .withColumn("row_count", F.coalesce("row_count", F.lit(0).cast("long")))
     return counts.select(
         "taxi_type",
         "source_file",
@@ -57,6 +62,21 @@ def missing_months(spark: SparkSession, counts: DataFrame, cfg: AuditConfig) ->
     ).orderBy("taxi_type", "year", "month")
 
 
+def counts_by_file(report: DataFrame) -> DataFrame:
+    """The same columns from the manifest's file report, invalid files included."""
+    name = F.element_at(F.split("file_path", "/"), -1)
+    return report.select(
+        "taxi_type", name.alias("source_file"), F.regexp_extract(name, FILE_MONTH, 1).try_cast("int").alias("year"),
+        F.regexp_extract(name, FILE_MONTH, 2).try_cast("int").alias("month"),
+        F.col("rows_read").alias("row_count"), "is_valid")
+
+
+def expected_files(spark: SparkSession, cfg: AuditConfig) -> DataFrame:
+    """The listing that the expected grid names: ``taxi_type, source_file``."""
+    return expected_grid(spark, cfg).select(
+        "taxi_type", F.format_string(TRIP_FILE_FORMAT, "taxi_type", "year", "month").alias("source_file"))
+
+
 def impute_needed(counts: DataFrame, cfg: AuditConfig) -> DataFrame:
     """One row: whether the target month has a valid source for every taxi type."""
     target = counts.filter(
@@ -69,31 +89,3 @@ def impute_needed(counts: DataFrame, cfg: AuditConfig) -> DataFrame:
         (F.col("types_present") >= F.lit(len(cfg.taxi_types))).alias("month_complete"),
         (F.col("types_present") < F.lit(len(cfg.taxi_types))).alias("needs_imputation"),
     )
-
-
-def unprocessed_months(counts: DataFrame, processed: DataFrame) -> DataFrame:
-    """Valid source months with no partition in the processed output yet (incremental runs).
-
-    ``processed`` is the output table; only its partition columns are read, so Spark lists the
-    partitions instead of reading data files.
-    """
-    done = processed.select("taxi_type", "year", "month").distinct()
-    todo = counts.filter("is_valid").select("taxi_type", "year", "month").distinct()
-    return todo.join(done, ["taxi_type", "year", "month"], "left_anti")
-
-
-def source_files(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """One row per raw file (``taxi_type``, ``source_file`` name, ``file_path``), from the file
-    listing alone: no data file is opened. The list is bounded by the number of files."""
-    rows = []
-    for t, p in paths.items():
-        for f in spark.read.parquet(p).inputFiles():
-            rows.append((t, f.rstrip("/").rsplit("/", 1)[-1], f))
-    return spark.createDataFrame(rows, "taxi_type string, source_file string, file_path string")
-
-
-def unprocessed_files(files: DataFrame, labelled: DataFrame) -> DataFrame:
-    """Raw files whose trips are not in the labelled table yet (its ``source_file`` lineage column is
-    the manifest, so data and manifest can never disagree)."""
-    done = labelled.select("taxi_type", "source_file").distinct()
-    return files.join(done, ["taxi_type", "source_file"], "left_anti")

@@ -1,29 +1,81 @@
-"""Raw trip files: one directory (or glob) per taxi type, read as one dataset.
+"""Raw trip files: one directory, glob or list of files per taxi type, read as one dataset.
 
-A directory scan is an implicit UNION ALL over its files; ``source_file`` comes from the file
-metadata column, so lineage costs no extra read. Only mapped columns are selected later, so the
-Parquet reader prunes the rest.
+Files are read with an explicit schema per type: the mapped raw columns at their widest types (whole
+numbers as long, money and distance as double), so files that store a column as int or long, float or
+double can stand side by side, and a file that lacks a column gives NULL for its own rows only. Names
+match whatever their case. Lineage (``source_file``, ``file_path``) always comes from the file itself.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from cordon.config import COLUMN_MAPS, UNIFIED_TYPES
+from cordon.sources.manifest import plain_path
 
-def read_trip_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """A directory (or list) of trip files; ``source_file`` is kept when the files carry it, else
-    taken from the file metadata."""
-    df = spark.read.parquet(*([path] if isinstance(path, str) else path))
-    if "source_file" in df.columns:
-        return df
-    return df.withColumn("source_file", F.col("_metadata.file_name"))
+READ_ERRORS = (PySparkException, Py4JJavaError)
+_WIDEST = {"int": T.LongType(), "double": T.DoubleType()}
 
 
-def read_raw_sources(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
+def raw_schema(column_map: Mapping[str, str], time_type: T.DataType | None = None) -> T.StructType:
+    """Mapped raw columns at their widest types."""
+    out = T.StructType()
+    for name, unified in column_map.items():
+        kind = UNIFIED_TYPES[unified]
+        out.add(name, _WIDEST.get(kind.simpleString(), time_type or kind))
+    return out
+
+
+def _time_type(spark: SparkSession, paths: list[str], column_map: Mapping[str, str]) -> T.DataType:
+    """How these files store times (with or without zone): the reader does not convert between the two."""
+    times = {n.lower() for n, u in column_map.items() if UNIFIED_TYPES[u].simpleString().startswith("timestamp")}
+    for p in paths:
+        try:
+            found = [f.dataType for f in spark.read.parquet(p).schema if f.name.lower() in times]
+        except READ_ERRORS:  # unreadable: file validation reports it
+            continue
+        if found:
+            return found[0]
+    return T.TimestampNTZType()
+
+
+def read_trip_files(spark: SparkSession, path: str | list[str], taxi_type: str,
+                    column_maps: Mapping[str, Mapping[str, str]] = COLUMN_MAPS) -> DataFrame:
+    """Trip files of one type with lineage columns."""
+    paths = [path] if isinstance(path, str) else list(path)
+    column_map = column_maps[taxi_type]
+    schema = raw_schema(column_map, _time_type(spark, paths, column_map))
+    df = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*paths)
+    return df.withColumns({"source_file": F.col("_metadata.file_name"), "file_path": plain_path(F.col("_metadata.file_path"))})
+
+
+def read_raw_sources(spark: SparkSession, paths: Mapping[str, str | list[str]],
+                     column_maps: Mapping[str, Mapping[str, str]] = COLUMN_MAPS) -> dict[str, DataFrame]:
     """``{"yellow": path, "green": path}`` -> raw frames with lineage."""
-    return {t: read_trip_files(spark, p) for t, p in paths.items()}
+    return {t: read_trip_files(spark, p, t, column_maps) for t, p in paths.items() if p}
+
+
+def row_counts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Rows per file, from the footers alone (no column is read)."""
+    df = spark.read.schema(T.StructType()).parquet(*paths)
+    return df.groupBy(plain_path(F.col("_metadata.file_path")).alias("file_path")).agg(F.count(F.lit(1)).alias("rows_read"))
+
+
+def unreadable_files(spark: SparkSession, paths: list[str], taxi_type: str,
+                     column_maps: Mapping[str, Mapping[str, str]] = COLUMN_MAPS) -> dict[str, str]:
+    """Files that cannot be read in full, with the reason. Reads file by file: called after a failure only."""
+    bad = {}
+    for p in paths:
+        try:
+            read_trip_files(spark, p, taxi_type, column_maps).write.format("noop").mode("overwrite").save()
+        except READ_ERRORS as e:
+            cause = e.java_exception.getMessage() if isinstance(e, Py4JJavaError) else str(e)
+            bad[p] = (cause or "unreadable").strip().splitlines()[0][:300]
+    return bad
 
 
 def read_zones(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -6,9 +6,11 @@ and how many non-null values it holds over the whole table (one aggregation pass
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
-from cordon.config import UNIFIED_COLUMNS, UNIFIED_TYPES
+from cordon.config import COLUMN_MAPS, UNIFIED_COLUMNS, UNIFIED_TYPES
 
 _FAMILY = {"timestamp_ntz": "timestamp", "timestamp": "timestamp", "int": "integer", "integer": "integer", "double": "double"}
 
@@ -42,3 +44,27 @@ def schema_check(df: DataFrame) -> DataFrame:
     return counts.select("row_count", F.inline(F.array(*rows))).select(
         "ordinal", "column_name", "expected_type", "actual_type", "is_present", "type_ok", "non_null_count", "row_count"
     )
+
+
+def raw_schema_check(raw_by_type: Mapping[str, DataFrame],
+                     column_maps: Mapping[str, Mapping[str, str]] = COLUMN_MAPS) -> DataFrame:
+    """One row per type and mapped raw column, before any cast: is it there, has it the unified type, how
+    many values does it hold. A column of another type is cast later; one that is missing becomes NULL."""
+    out = None
+    for t, df in raw_by_type.items():
+        actual = {f.name.lower(): f for f in df.schema.fields}
+        names = list(column_maps[t])
+        counts = df.agg(F.count(F.lit(1)).alias("row_count"), *[
+            (F.count(F.col(f"`{actual[c.lower()].name}`")) if c.lower() in actual else F.lit(0).cast("long")).alias(f"nn_{i}")
+            for i, c in enumerate(names)])
+        rows = []
+        for i, c in enumerate(names):
+            exp = type_family(UNIFIED_TYPES[column_maps[t][c]].simpleString())
+            act = type_family(actual[c.lower()].dataType.simpleString()) if c.lower() in actual else None
+            rows.append(F.struct(F.lit(t).alias("taxi_type"), F.lit(c).alias("column_name"), F.lit(exp).alias("expected_type"),
+                                 F.lit(act).cast("string").alias("actual_type"), F.lit(act is not None).alias("is_present"),
+                                 F.lit(act == exp).alias("type_ok"), F.col(f"nn_{i}").alias("non_null_count")))
+        one = counts.select("row_count", F.inline(F.array(*rows)))
+        out = one if out is None else out.unionByName(one)
+    return out.select("taxi_type", "column_name", "expected_type", "actual_type", "is_present", "type_ok",
+                      "non_null_count", "row_count")

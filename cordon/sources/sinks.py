@@ -1,10 +1,10 @@
 """Parquet sinks.
 
-Trip-level tables are written partitioned by taxi type and pickup month (and split), ZSTD. A full
-run replaces the table (static overwrite: one commit, no per-partition moves). An incremental run
-(``dynamic=True``) replaces only the partitions it writes, so a rerun of the same months is
-idempotent; ``append=True`` adds new source files' trips (file-level increments, see
-``inventory.unprocessed_files``). Small results are written as they are.
+A run's trips are written under its own run id, partitioned by split and pickup month, ZSTD. Nothing
+is ever overwritten there: which runs count is the manifest's matter (``manifest.py``). Each task
+writes the months it holds, so raw files laid out by month give one file per task, split and month.
+For raw input in no such order, ``month_salt`` clusters the trips by month first: one shuffle, with
+each month dealt over that many parts so that a large month is no single task's work.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-TRIP_PARTITIONS = ("taxi_type", "year", "month")
+TRIP_PARTITIONS = ("split", "year", "month")
 
 
 def with_month_partitions(df: DataFrame, ts: str = "pickup_time") -> DataFrame:
@@ -26,18 +26,17 @@ def with_month_partitions(df: DataFrame, ts: str = "pickup_time") -> DataFrame:
 
 
 def write_trips(df: DataFrame, path: str, partition_by: Sequence[str] = TRIP_PARTITIONS,
-                compression: str = "zstd", dynamic: bool = False, append: bool = False) -> None:
-    """Write a trip-level table partitioned by ``partition_by`` (``append`` adds files to it)."""
+                compression: str = "zstd", month_salt: int | None = None) -> None:
+    """Write one run's trips to a new folder."""
     out = with_month_partitions(df)
-    (
-        out.write.mode("append" if append else "overwrite")
-        .option("compression", compression)
-        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
-
-
-def write_result(df: DataFrame, path: str, compression: str = "zstd") -> None:
-    """Write a small result table (whole overwrite)."""
-    df.write.mode("overwrite").option("compression", compression).parquet(path)
+    if month_salt:
+        salt = F.pmod(F.xxhash64("pickup_time", "dropoff_time", "pickup_loc", "dropoff_loc", "fare"), F.lit(month_salt))
+        out = out.repartition("year", "month", salt)
+    out.write.mode("errorifexists").option("compression", compression).partitionBy(*partition_by).parquet(path)
+
+
+def write_result(df: DataFrame, path: str, compression: str = "zstd", ordered: bool = False) -> None:
+    """Write a small result as one file (whole overwrite); an ordered result keeps its order, as its sorted
+    partitions are concatenated."""
+    out = df.coalesce(1) if ordered else df.repartition(1)
+    out.write.mode("overwrite").option("compression", compression).parquet(path)

@@ -1,11 +1,4 @@
-"""Structured Streaming form of the audit: the same stateless operators on a stream of trip files;
-the zone-day rollup either as a watermarked daily window or as mergeable per-batch partials."""
+"""Structured Streaming form of the audit: the same stateless operators on a stream of trip files, the
+zone-day rollup as mergeable per-batch partials."""
 
-from cordon.streaming.trips import (  # noqa: F401
-    read_raw_stream,
-    start_zone_daily_partials,
-    start_zone_daily_sink,
-    zone_daily_from_partials,
-    zone_daily_partials,
-    zone_daily_stream,
-)
+from cordon.streaming.trips import read_raw_stream, start_zone_daily_partials  # noqa: F401

@@ -1,19 +1,8 @@
-"""Streaming zone-day rollup, in two forms.
+"""Streaming zone-day rollup as mergeable partials.
 
-``zone_daily_stream`` (watermarked window, described below) emits each day once it is closed.
-``start_zone_daily_partials`` keeps no state and drops nothing: every micro-batch is aggregated to
-mergeable sums and counts per (day, category, period) and written under its batch id;
-``zone_daily_from_partials`` merges them into the rollup on read.
-
-Watermarked form:
-Unification, labelling and classification are row-by-row, so the batch operators run unchanged on
-a streaming DataFrame (the zone ids are a static, size-checked broadcast side of a stream-static
-join). The rollup is a tumbling one-day window on the pickup time with a watermark: state holds
-only the days still open (bounded by the lateness, not by the history), and a day's rows are
-appended to the sink once the watermark passes its end. Trips arriving later than the lateness
-bound are not folded into an already-emitted day; they stay in the trip files and in the batch
-audit, which remains the complete record. The file sink with a checkpoint in the shared folder is
-exactly-once and resumes after a restart or a lost executor.
+Nothing is held in state and nothing is late: every micro-batch is aggregated to sums and counts per
+(day, category, period) and written under its batch id; ``zones.zone_daily_from_partials`` merges them
+on read. Trip files arrive by month and hold stray and future dates, so a watermark would drop trips.
 """
 
 from __future__ import annotations
@@ -22,105 +11,20 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType
 
-from cordon.config import AuditConfig
+from cordon.config import COLUMN_MAPS, AuditConfig
 from cordon.operators import anomaly, unify, zones
+from cordon.sources.raw import raw_schema
 
 
-def read_raw_stream(spark: SparkSession, path: str, schema: StructType | None = None,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream the trip files of one type as they land in ``path``."""
-    if schema is None:
-        schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema)
+def read_raw_stream(spark: SparkSession, path: str, taxi_type: str, max_files_per_trigger: int | None = None,
+                    time_type: DataType | None = None) -> DataFrame:
+    """Stream the trip files of one type as they land in ``path``, under the explicit raw schema."""
+    reader = spark.readStream.schema(raw_schema(COLUMN_MAPS[taxi_type], time_type))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.parquet(path)
-    if "source_file" not in df.columns:
-        df = df.withColumn("source_file", F.col("_metadata.file_name"))
-    return df
-
-
-def zone_daily_stream(raw_streams: Mapping[str, DataFrame], zone_ids: DataFrame, cfg: AuditConfig,
-                      lateness: str = "1 day") -> DataFrame:
-    """The zone-day rollup of a trip stream (same columns as the batch rollup)."""
-    unified = unify.unify_all(raw_streams, cfg.column_maps)
-    classified = zones.classify(anomaly.clean_trips(anomaly.flag_trips(unified, cfg)), zone_ids, cfg)
-    # Watermarks need a zoned timestamp; with the session zone at UTC the cast keeps the wall clock.
-    events = classified.withColumn("event_time", F.col("pickup_time").cast("timestamp"))
-    agg = (
-        events.withWatermark("event_time", lateness)
-        .groupBy(F.window("event_time", "1 day").alias("day"), "zone_category", "after_congestion_start")
-        .agg(*zones.rollup_measures())
-    )
-    return agg.select(
-        F.col("day.start").cast("timestamp_ntz").alias("trip_date"),
-        "zone_category", "after_congestion_start",
-        *[c for c in agg.columns if c not in ("day", "zone_category", "after_congestion_start")],
-    )
-
-
-def start_zone_daily_sink(rollup_stream: DataFrame, path: str, checkpoint: str,
-                          available_now: bool = False, processing_time: str | None = None) -> StreamingQuery:
-    """Append finalised days to a Parquet table; ``checkpoint`` must be in the shared folder."""
-    writer = (
-        rollup_stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-    )
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    elif processing_time:
-        writer = writer.trigger(processingTime=processing_time)
-    return writer.start(path)
-
-
-# -- late-data-safe form: partial aggregates per micro-batch, merged on read ---------------------
-
-def _partial_measures() -> list:
-    s0 = F.coalesce(F.col("congestion_surcharge"), F.lit(0.0))
-    s = F.col("congestion_surcharge")
-    return [
-        F.count(F.lit(1)).alias("trip_count"),
-        F.sum("fare").alias("fare_sum"), F.count("fare").alias("fare_n"),
-        F.sum("total_amount").alias("total_sum"), F.count("total_amount").alias("total_n"),
-        F.sum("trip_distance").alias("distance_sum"), F.count("trip_distance").alias("distance_n"),
-        F.sum(s0).alias("total_congestion_collected"),
-        F.count_if(s > 0).alias("trips_with_surcharge"),
-        F.count_if(s.isNull() | (s == 0)).alias("trips_without_surcharge"),
-    ]
-
-
-def zone_daily_partials(classified: DataFrame) -> DataFrame:
-    """Mergeable partial rollup (sums and counts) of a set of classified trips."""
-    from cordon.functions.trip import trip_date
-
-    return classified.groupBy(
-        trip_date(F.col("pickup_time")).alias("trip_date"), "zone_category", "after_congestion_start"
-    ).agg(*_partial_measures())
-
-
-def zone_daily_from_partials(partials: DataFrame) -> DataFrame:
-    """The zone-day rollup from any number of partial rows per key (same columns as the batch)."""
-    keys = ["trip_date", "zone_category", "after_congestion_start"]
-    m = partials.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in (
-        "trip_count", "fare_sum", "fare_n", "total_sum", "total_n", "distance_sum", "distance_n",
-        "total_congestion_collected", "trips_with_surcharge", "trips_without_surcharge")])
-
-    def mean(s, n):
-        return F.col(s) / F.nullif(F.col(n), F.lit(0))
-
-    return m.select(
-        *keys,
-        "trip_count",
-        mean("fare_sum", "fare_n").alias("avg_fare"),
-        mean("total_sum", "total_n").alias("avg_total"),
-        mean("distance_sum", "distance_n").alias("avg_distance"),
-        "total_congestion_collected",
-        (F.col("total_congestion_collected") / F.col("trip_count")).alias("avg_congestion_surcharge"),
-        "trips_with_surcharge", "trips_without_surcharge",
-    )
+    return reader.parquet(path).withColumn("source_file", F.col("_metadata.file_name"))
 
 
 def start_zone_daily_partials(raw_streams: Mapping[str, DataFrame], zone_ids: DataFrame, cfg: AuditConfig,
@@ -137,7 +41,7 @@ def start_zone_daily_partials(raw_streams: Mapping[str, DataFrame], zone_ids: Da
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         (
-            zone_daily_partials(batch).withColumn("batch_id", F.lit(batch_id))
+            zones.zone_daily_partials(batch).withColumn("batch_id", F.lit(batch_id))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id").parquet(path)
         )

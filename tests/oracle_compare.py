@@ -1,4 +1,5 @@
-"""Compare a Spark result with the DuckDB oracle: row count, column names, order-insensitive values."""
+"""Compare a Spark result with the DuckDB oracle: row count, column names, type families,
+order-insensitive values."""
 
 from __future__ import annotations
 
@@ -42,6 +43,19 @@ def _rows(columns, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+_SPARK_KINDS = {"tinyint": "int", "smallint": "int", "int": "int", "bigint": "int", "float": "float", "double": "float",
+                "boolean": "bool", "string": "text", "date": "date", "timestamp": "time", "timestamp_ntz": "time"}
+_DUCK_KINDS = {"TINYINT": "int", "SMALLINT": "int", "INTEGER": "int", "BIGINT": "int", "HUGEINT": "int", "FLOAT": "float",
+               "DOUBLE": "float", "BOOLEAN": "bool", "VARCHAR": "text", "DATE": "date", "TIMESTAMP": "time",
+               "TIMESTAMP WITH TIME ZONE": "time"}
+
+
+def _kinds_differ(spark_df, res) -> list:
+    duck = {c[0]: _DUCK_KINDS.get(str(c[1]), str(c[1]).lower()) for c in res.description}
+    own = {n: _SPARK_KINDS.get(t, t) for n, t in spark_df.dtypes}
+    return [(n, own[n], duck[n]) for n in own if n in duck and own[n] != duck[n]]
+
+
 def compare(spark_df, con, sql: str) -> dict:
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
@@ -50,7 +64,7 @@ def compare(spark_df, con, sql: str) -> dict:
     d_rows = res.fetchall()
     out = {
         "rows_spark": len(s_rows), "rows_oracle": len(d_rows),
-        "columns_match": sorted(s_cols) == sorted(d_cols),
+        "columns_match": sorted(s_cols) == sorted(d_cols), "types_differ": _kinds_differ(spark_df, res),
     }
     if not out["columns_match"]:
         out["columns_spark"], out["columns_oracle"] = sorted(s_cols), sorted(d_cols)

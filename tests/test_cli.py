@@ -28,6 +28,18 @@ def test_cli_full_run(spark, sf_small):
         _raw(spark, sf_small, t).write.parquet(f"{root}/raw/{t}")
     tables = run(spark, parse(_stage(spark, sf_small, root)), CFG)
     assert audit.read_labelled(spark, tables).count() == catalog.flagged(spark, sf_small).count()
+    import os
+
+    own = {"file_report", "anomaly_hub", "location_hub"}  # of the run itself, or behind several results
+    queries = set(catalog.QUERIES) - {"unify_yellow", "unify_green", "unify_all", "unify_tagged", "ghost_flags", "clean_trips",
+                                      "ghost_trips", "classify_trips", "zone_daily", "zone_daily_merged", "raw_schema_check",
+                                      "file_inventory"}  # trip tables, and checks of raw tables
+    assert set(os.listdir(f"{root}/out/results")) == queries | own
+    for name, keys in (("top_pickups_entering", ["-trip_count", "pickup_loc"]), ("file_report", ["taxi_type", "file_path"]),
+                       ("ghost_patterns", ["-trip_count", "ghost_flag"]), ("missing_months", ["taxi_type", "year", "month"])):
+        rows = spark.read.parquet(tables.result(name)).collect()  # one file, read in its order
+        want = sorted(rows, key=lambda r: tuple(-r[k[1:]] if k[0] == "-" else r[k] for k in keys))
+        assert rows == want and len(rows) > 1, name
     a = sorted(map(tuple, spark.read.parquet(tables.result("leakage_summary")).collect()))
     assert a == sorted(map(tuple, catalog.QUERIES["leakage_summary"](spark, sf_small).collect()))
 
@@ -54,3 +66,22 @@ def test_cli_incremental_reads_only_new_files(spark, sf_small):
     assert audit.read_labelled(spark, tables).count() == total
     files = audit.read_labelled(spark, tables).select("source_file").distinct().count()
     assert files == 2 * (3 + 2)
+
+
+def test_a_complete_month_is_not_imputed(spark, sf_small):
+    from dataclasses import replace
+
+    root = tempfile.mkdtemp(prefix="cordon-month-")
+    for t in CFG.taxi_types:
+        _raw(spark, sf_small, t).write.parquet(f"{root}/raw/{t}")
+    cfg = replace(CFG, impute_year=2000, impute_month=3)
+    argv = _stage(spark, sf_small, root)
+    for t in CFG.taxi_types:  # files named by month, one of them the month in question
+        d = f"{root}/raw/{t}"
+        first = sorted(n for n in __import__("os").listdir(d) if n.endswith(".parquet"))[0]
+        __import__("shutil").copy(f"{d}/{first}", f"{d}/{t}_tripdata_2000-03.parquet")
+    tables = run(spark, parse(argv), cfg)
+    import os
+
+    assert not any(n.startswith(("impute_month", "impute_total", "month_profile")) for n in os.listdir(f"{root}/out/results"))
+    assert not spark.read.parquet(tables.result("impute_needed")).collect()[0].needs_imputation

@@ -62,3 +62,31 @@ def test_period_queries_prune_partitions_and_columns(spark, written):
     assert "PushedFilters: [" in scan and "pickup_time" in scan.split("PushedFilters")[1].split("\n")[0]
     schema = scan.split("ReadSchema: ")[1].split("\n")[0]
     assert "dropoff_loc" not in schema and "congestion_surcharge" not in schema, schema
+
+
+def _tree(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_split_statistics_share_one_pass(spark, written, tmp_path):
+    from cordon.operators import anomaly
+
+    hub = anomaly.anomaly_hub(audit.read_labelled(spark, written))
+    assert _tree(hub).count("FileScan") == 1 and "Expand" not in _tree(hub)
+    hub.write.parquet(str(tmp_path / "hub"))
+    stored = spark.read.parquet(str(tmp_path / "hub"))
+    for f in (anomaly.ghost_stats, anomaly.ghost_totals, anomaly.ghost_patterns):
+        plan = _tree(f(stored))
+        assert plan.count("FileScan") == 1 and "run_id" not in plan, f.__name__
+
+
+def test_location_reports_share_one_pass(spark, sf_small, written):
+    ids = zones.zone_id_set(zones.congestion_zones(fixture.zones(spark, sf_small), CFG), CFG)
+    hub = zones.location_hub(zones.classify(audit.read_clean(spark, written), ids, CFG), CFG)
+    plan = formatted(hub)
+    trips = [s for s in plan.split("Scan parquet") if "pickup_time" in s.split("ReadSchema")[-1].split("\n")[0]]
+    assert len(trips) == 1 and "Expand" not in plan
+
+
+def test_projection_reads_the_trip_table_once(spark, sf_small):
+    assert _tree(catalog.unified(spark, sf_small)).count("lineitem.parquet") == 1

@@ -1,56 +1,27 @@
-"""The streaming rollup equals the batch rollup on the days the watermark has closed."""
+"""The streamed partial rollup equals the batch rollup on every day."""
 
 import tempfile
+from datetime import datetime
 
-from pyspark.sql import functions as F
-
-from cordon.config import FIXTURE_CONFIG as CFG
+from cordon.config import FIXTURE_CONFIG as CFG, YELLOW_COLUMN_MAP
 from cordon.operators import zones
 from cordon.plans import catalog
 from cordon.sources import fixture
-from cordon.streaming import read_raw_stream, start_zone_daily_sink, zone_daily_stream
-
-
-def test_stream_equals_batch_on_closed_days(spark, sf_small):
-    root = tempfile.mkdtemp(prefix="cordon-stream-")
-    for t in CFG.taxi_types:
-        fixture.raw_trips(spark, sf_small, t).write.parquet(f"{root}/raw/{t}")
-    streams = {t: read_raw_stream(spark, f"{root}/raw/{t}") for t in CFG.taxi_types}
-    ids = zones.zone_id_set(zones.congestion_zones(fixture.zones(spark, sf_small), CFG), CFG)
-    q = start_zone_daily_sink(zone_daily_stream(streams, ids, CFG, lateness="1 day"), f"{root}/out",
-                              f"{root}/ckpt", available_now=True)
-    q.awaitTermination(600)
-    streamed = spark.read.parquet(f"{root}/out")
-    assert streamed.count() > 0
-
-    batch = catalog.rollup(spark, sf_small)
-    last_day = streamed.agg(F.max("trip_date")).collect()[0][0]
-    cols = streamed.columns
-
-    def rows(df):
-        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r)
-                      for r in df.select(*cols).collect())
-
-    assert rows(streamed) == rows(batch.filter(F.col("trip_date") <= F.lit(last_day)))
-    # Only the days still inside the lateness horizon are held back.
-    held = batch.filter(F.col("trip_date") > F.lit(last_day)).select("trip_date").distinct().count()
-    assert held <= 2
+from cordon.streaming import read_raw_stream, start_zone_daily_partials
 
 
 def test_partials_stream_equals_batch_on_every_day(spark, sf_small):
     """Many small micro-batches with files out of time order: no trip is dropped."""
-    from cordon.streaming import start_zone_daily_partials, zone_daily_from_partials
-
     root = tempfile.mkdtemp(prefix="cordon-partials-")
     for t in CFG.taxi_types:
         fixture.raw_trips(spark, sf_small, t).repartition(12).write.parquet(f"{root}/raw/{t}")
-    streams = {t: read_raw_stream(spark, f"{root}/raw/{t}", max_files_per_trigger=3) for t in CFG.taxi_types}
+    streams = {t: read_raw_stream(spark, f"{root}/raw/{t}", t, max_files_per_trigger=3) for t in CFG.taxi_types}
     ids = zones.zone_id_set(zones.congestion_zones(fixture.zones(spark, sf_small), CFG), CFG)
     q = start_zone_daily_partials(streams, ids, CFG, f"{root}/partials", f"{root}/ckpt", available_now=True)
     q.awaitTermination(900)
     partials = spark.read.parquet(f"{root}/partials")
     assert partials.select("batch_id").distinct().count() >= 3
-    merged = zone_daily_from_partials(partials)
+    merged = zones.zone_daily_from_partials(partials)
     batch = catalog.rollup(spark, sf_small)
     cols = batch.columns
 
@@ -65,3 +36,22 @@ def test_partials_stream_equals_batch_on_every_day(spark, sf_small):
                 assert abs(g[c] - w[c]) <= 1e-9 * max(1.0, abs(w[c])), (k, c, g[c], w[c])
             else:
                 assert g[c] == w[c], (k, c, g[c], w[c])
+
+
+def test_a_future_trip_closes_no_day(spark):
+    """One stray future pickup arrives first; all later files of the month still count."""
+    root = tempfile.mkdtemp(prefix="cordon-future-")
+    types = ["timestamp_ntz", "timestamp_ntz", "long", "long", "double", "double", "double", "double"]
+    schema = ", ".join(f"{c} {t}" for c, t in zip(YELLOW_COLUMN_MAP, types))
+
+    def drop(day, n):
+        rows = [(day, day.replace(minute=30), 1, 2, 3.0, 10.0, 12.0, 2.5)] * n
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/raw")
+
+    ids = zones.zone_id_set(spark.createDataFrame([(1,)], "LocationID int"), CFG)
+    for day, n in ((datetime(2098, 1, 1, 8), 1), (datetime(2025, 2, 3, 8), 50), (datetime(2025, 2, 1, 8), 7)):
+        drop(day, n)
+        streams = {"yellow": read_raw_stream(spark, f"{root}/raw", "yellow")}
+        start_zone_daily_partials(streams, ids, CFG, f"{root}/out", f"{root}/ckpt", available_now=True).awaitTermination(300)
+    merged = zones.zone_daily_from_partials(spark.read.parquet(f"{root}/out")).collect()
+    assert sorted(r.trip_count for r in merged) == [1, 7, 50]
