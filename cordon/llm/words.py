@@ -112,6 +112,7 @@ def slices(column: pa.Array) -> Iterator[Texts]:
         column = column.combine_chunks()
     for first in range(0, len(column), SLICE_ROWS):
         yield from _slices(first, column.slice(first, SLICE_ROWS))
+    pa.default_memory_pool().release_unused()  # else each worker keeps the pages of its largest batch
 
 
 def _slices(first: int, column: pa.Array) -> Iterator[Texts]:
