@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cordon.llm.shared import parallelism
 
 BUCKETS_PER_PARTITION = 4
-MAX_BUCKETS = 4096
-SAMPLE_PER_BUCKET = 16
+MAX_BUCKETS = 32768
+SAMPLE_PER_BUCKET = 12
 KEY_CHARS = 64
 SPLITTERS = "array<struct<t:string,i:long>>"
 
