@@ -33,6 +33,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_digests(table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup_two_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_digests(table(spark, sf_dir, "documents"), max_edits=2)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents")).drop("failed_rule")
 
@@ -74,6 +78,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_knn": op2_quality_knn,
     "op3_line_dedup": op3_line_dedup,
+    "op3_line_dedup_two_edits": op3_line_dedup_two_edits,
     "op4_quality_rules": op4_quality_rules,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_source_mixing": op6_source_mixing,

@@ -93,3 +93,48 @@ def test_hot_line_and_texts(spark):
 
 def test_empty_table(spark):
     assert rows_of(line_dedup.dedup_digests(documents(spark, []))) == []
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def check_bound(spark, lines, k):
+    """One line a document, so that the ids are the order."""
+    lines = list(dict.fromkeys(lines))
+    want = {i for i, x in enumerate(lines) if len(x) >= 20 and any(
+        len(y) >= 20 and abs(len(x) - len(y)) <= k and edits(x, y) <= k for y in lines[:i])}
+    got = line_dedup.dedup_lines(documents(spark, [(i, x, None, None, None) for i, x in enumerate(lines)]), max_edits=k).collect()
+    assert {r.doc_id for r in got if r.n_near_dropped} == want and len(want) > 10
+
+
+@pytest.mark.parametrize("k, group", [(1, 1), (2, 16), (2, 1), (3, 16)])
+def test_larger_bounds_against_all_pairs(spark, monkeypatch, k, group):
+    monkeypatch.setattr(line_dedup, "GROUP", group)
+    rng = random.Random(k)
+    base = [prose(rng, n)[:90] for n in (5, 9, 15)] + ["ab" * 12, "a" * 22, "é" * 21, "abcdefghijklmnopqrst"]
+    made = list(base)
+    for i in range(60 if group > 2 else 30):
+        w = list(rng.choice(base))
+        for _ in range(rng.randint(1, k + 2)):
+            p = rng.randrange(len(w))
+            w[p:p + rng.choice([0, 1, 1])] = rng.choice(["", "x", "b", "é"])
+        made.append("".join(w).strip() or "z")
+    rng.shuffle(made)
+    check_bound(spark, made, k)
+
+
+def test_one_word_changed_in_a_long_line(spark):
+    line = prose(random.Random(5), 70)
+    lines = [line, line[:200] + "xy" + line[202:], line[:30] + line[31:300] + "q" + line[300:], line + "abc"]
+    got = line_dedup.dedup_lines(documents(spark, [(i, x, None, None, None) for i, x in enumerate(lines)]), max_edits=2).collect()
+    assert sorted(r.doc_id for r in got if r.n_near_dropped) == [1, 2]
+    got = line_dedup.dedup_lines(documents(spark, [(i, x, None, None, None) for i, x in enumerate(lines)])).collect()
+    assert not any(r.n_near_dropped for r in got)
+    with pytest.raises(ValueError):
+        line_dedup.dedup_lines(documents(spark, []), max_edits=0)
