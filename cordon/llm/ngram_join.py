@@ -259,9 +259,10 @@ def _join(docs: DataFrame, n: int, threshold: Fraction, text_col: str) -> tuple[
     sizes = members.groupBy(F.col("component").alias("c")).agg(
         F.ceil(F.sum(weight) / BLOCK_NGRAMS).cast("int").alias("blocks"))
     members = cut(members.join(sizes, F.col("component") == F.col("c"))
-                  .select("text_key", "component", "blocks", F.col("rep.doc_id").alias("rep_id")), "members")
-    own = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.col(text_col).cast("string").alias("text"))
-    sets = (own.join(members.hint("shuffle_hash"), F.col("own_id").eqNullSafe(F.col("rep_id")))
+                  .select("text_key", "component", "blocks", F.col("rep.doc_id").alias("rep_id"),
+                          F.col("rep.tie").alias("rep_tie")), "members")
+    own = docs.select(F.col("doc_id").cast("long").alias("own_id"), _tie(docs).alias("own_tie"), F.col(text_col).cast("string").alias("text"))
+    sets = (own.join(members.hint("shuffle_hash"), F.col("own_id").eqNullSafe(F.col("rep_id")) & (F.col("own_tie") == F.col("rep_tie")))
             .select("text", "text_key", "component", "blocks")
             .mapInArrow(_ngram_sets(n), "component binary, blocks int, text_key binary, ngrams binary"))
     block = F.pmod(F.xxhash64("text_key"), F.col("blocks")).cast("int")

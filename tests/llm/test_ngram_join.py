@@ -139,3 +139,24 @@ def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(0, 70)] + [(i, i + 1) for i in range(100, 103)] + [(5, 5), (200, 200)]
     got = {r.node: r.label for r in comp.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(71)}, **{i: 100 for i in range(100, 104)}}
+
+
+def test_texts_that_share_an_id_are_fetched_once(spark, monkeypatch):
+    fetched = spark.sparkContext.accumulator(0)
+    sets = ngram_join._ngram_sets
+
+    def counted(n):
+        inner = sets(n)
+
+        def run(batches):
+            def tap():
+                for batch in batches:
+                    fetched.add(batch.num_rows)
+                    yield batch
+            return inner(tap())
+        return run
+
+    monkeypatch.setattr(ngram_join, "_ngram_sets", counted)
+    rows = [(None if i % 2 else 7, *r[1:]) for i, r in enumerate(near_rows()[:40])]
+    check(spark, rows)
+    assert 0 < fetched.value <= len(rows)
