@@ -2,7 +2,8 @@
 
 Features of a whole text, from its words only: hashed word counts, hashed word shapes (which kinds of
 characters, the closing mark and whether it is doubled, a length class), and shares of repeated words
-and lines. Counts are damped by a logarithm and weighted by inverse document frequency.
+and lines. Counts are damped by a logarithm and weighted by inverse document frequency over all rows of
+the corpus, which one pass counts (``frequencies``; FEATURES sums).
 
 ``fit`` takes a bounded, stratified sample of labelled documents (``PER_CLASS`` of each label, those
 with the smallest hash of their id; a documented bound), turns it into feature rows on the executors
@@ -122,14 +123,17 @@ class Model:
         return np.clip(out, 0.0, 1.0)
 
 
-def fit_rows(raw: np.ndarray, labels: np.ndarray, totals: tuple[int, int]) -> Model:
-    """Model from feature rows of the sample; ``totals`` are the labelled documents with label 0 and 1."""
+def fit_rows(raw: np.ndarray, labels: np.ndarray, totals: tuple[int, int],
+             corpus: tuple[np.ndarray, int] | None = None) -> Model:
+    """Model from feature rows of the sample; ``totals`` are the labelled documents with label 0 and 1;
+    ``corpus`` has the document frequencies and the number of documents (without it, the sample's)."""
     known = sum(totals)
     prior = totals[1] / known if known else 0.5
     if not len(labels):
         return Model(np.ones(FEATURES, np.float32), np.zeros((FEATURES, 1), np.float32), np.zeros((0, 1), np.float32),
                      labels, np.ones(2), prior)
-    idf = (np.log((1 + len(raw)) / (1 + (raw > 0).sum(axis=0))) + 0.1).astype(np.float32)
+    with_feature, n = ((raw > 0).sum(axis=0), len(raw)) if corpus is None else corpus
+    idf = (np.log((1 + n) / (1 + with_feature)) + 0.1).astype(np.float32)
     x = weighted(raw, idf)
     _, _, axes = np.linalg.svd(x, full_matrices=False)
     projection = np.ascontiguousarray(axes[:DIMENSIONS].T, dtype=np.float32)
@@ -150,9 +154,27 @@ def _feature_rows(docs: DataFrame, text_col: str) -> DataFrame:
         .mapInArrow(run, "label int, raw binary, l_id long")
 
 
+def frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, int]:
+    """In how many rows each feature is, and the number of rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(FEATURES + 1, dtype=np.int64)
+        for batch in batches:
+            for t in slices(batch.column(0)):
+                found[:-1] += (features(t) > 0).sum(axis=0)
+                found[-1] += t.n
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(FEATURES + 1)), pa.array(found)], names=["feature", "n"])
+
+    rows = (docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "feature long, n long")
+            .groupBy("feature").agg(F.sum("n").alias("n")).collect())  # one row a feature
+    out = np.zeros(FEATURES + 1, dtype=np.int64)
+    for r in rows:
+        out[r["feature"]] = r["n"]
+    return out[:-1], int(out[-1])
+
+
 def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", per_class: int = PER_CLASS) -> Model:
     """Learn from ``labels`` (doc_id, quality), of which rows that hold back a document are left out by the
-    caller. At most ``per_class`` documents of each label are read."""
+    caller. At most ``per_class`` documents of each label are learned from; document frequencies are of all."""
     known = labels.select(F.col("doc_id").cast("long").alias("l_id"), F.col("quality").cast("int").alias("label")) \
         .filter("l_id IS NOT NULL AND label IN (0, 1)").distinct()
     totals = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -166,7 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", per_class: i
             .orderBy("label", "l_id").collect())  # one row an id of the sample
     raw = np.array([np.frombuffer(r["raw"], dtype=np.float32) for r in rows]).reshape(len(rows), FEATURES)
     y = np.array([r["label"] for r in rows], dtype=np.int64)
-    return fit_rows(raw, y, (totals.get(0, 0), totals.get(1, 0)))
+    return fit_rows(raw, y, (totals.get(0, 0), totals.get(1, 0)), frequencies(docs, text_col) if len(rows) else None)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -73,3 +73,13 @@ def test_edge_cases(spark):
     got = knn.score(df, knn.fit(df, odd)).collect()
     assert len(got) == len(odd_documents()) and all(0 <= r.score <= 1 for r in got)
     assert rows_of(knn.score(documents(spark, []), model)) == []
+
+
+def test_document_frequencies_are_of_all_documents(spark):
+    rows, labels = _labelled(200)
+    rows += [(1000 + i, f"unlabelled words {i}", None, None, None) for i in range(50)] + odd_documents()
+    df = with_clashes(documents(spark, rows)).repartition(3)
+    lab = spark.createDataFrame(labels[:60], "doc_id long, quality int, toxic int")
+    raw = np.concatenate([knn.features(t) for t in slices(pa.array([r[1] for r in rows], pa.string()))])
+    want = np.log((1 + len(rows)) / (1 + (raw > 0).sum(axis=0))) + 0.1
+    assert np.allclose(knn.fit(df, lab).idf, want, atol=1e-5)
