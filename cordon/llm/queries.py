@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cordon.llm import (exact_dedup, line_dedup, mixing, ngram_join, packing, pii, quality_knn, rules, token_counts,
-                        url_rules)
+from cordon.llm import (align, exact_dedup, line_dedup, mixing, neighbours, ngram_join, packing, pii, quality_knn, rules,
+                        token_counts, url_rules, whitening)
 from cordon.llm.shared import table
 
 
@@ -74,6 +74,22 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        public_tokenizers.PATTERN)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    found = align.align(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                        _tokenizer("piece_bpe_32k.model"), digest=True)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_knn": op2_quality_knn,
@@ -86,6 +102,9 @@ QUERIES = {
     "op8_url_rules": op8_url_rules,
     "op9_ngram_join": op9_ngram_join,
     "op10_token_counts": op10_token_counts,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 ORACLE: dict[str, str] = {}

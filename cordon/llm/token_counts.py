@@ -20,6 +20,7 @@ repeated results; an empty table gives none; columns other than the id and the t
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 RULES = ("start", "majority")
+# What the tokenizer's pattern counts as white space (fixed values). It recurses for every character of a
+# run of these, so longer runs than LONG_RUN are cut off before.
+LONG_RUN = 1024
+_LONG_SPACE = re.compile(r"[\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
 COUNT_SCHEMA = "doc_id long, section int, first_byte long, end_byte long, n_tokens long, n_crossing long"
 
 
@@ -42,10 +47,29 @@ class ByteTokens:
         self.lengths = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
         for token, rank in ranks.items():
             self.lengths[rank] = len(token)
+        self.ranks = ranks
+
+    def tokens(self) -> list[bytes]:
+        """The bytes of every id."""
+        out = [b""] * len(self.lengths)
+        for token, rank in self.ranks.items():
+            out[rank] = token
+        return out
+
+    def encode(self, text: str) -> list[int]:
+        """Token ids. The pattern takes a run of white space as one piece, but for its last character if
+        more text follows, so a long run is encoded as that piece and the rest by itself."""
+        out, at = [], 0
+        for run in _LONG_SPACE.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            out += self.encoding.encode_ordinary(text[at:run.start()])
+            out += self.encoding._encode_single_piece(text[run.start():end])
+            at = end
+        return out + self.encoding.encode_ordinary(text[at:]) if at else self.encoding.encode_ordinary(text)
 
     def ends(self, text: str) -> np.ndarray:
         """Byte where each token of the text ends."""
-        return np.cumsum(self.lengths[self.encoding.encode_ordinary(text)])
+        return np.cumsum(self.lengths[self.encode(text)])
 
 
 _loaded: dict[tuple[str, str], ByteTokens] = {}
