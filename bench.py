@@ -3,8 +3,8 @@
 Untimed setup: the driver tables are projected once into raw per-type trip files (the shape of the
 downloaded monthly files) and the whole audit is run once on the sf0.001 tables to warm the JVM
 (class loading, JIT, codec libraries). Timed: the ingest (listing, unification and anomaly split in one
-job, manifest); the two hubs; the zone rollup; opening the written tables; and the queries read from
-them. Prints one JSON line, with rows a second of ingest + split statistics, the written files, and the
+job, manifest); all hubs, which hold the split statistics, in one pass; the zone rollup; opening the written
+tables; and the queries read from them. Prints one JSON line, with rows a second of ingest + split statistics, the written files, and the
 task seconds of the ingest by Spark's event log.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
@@ -24,7 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from cordon.config import FIXTURE_CONFIG as CFG  # noqa: E402
 from cordon.plans import audit  # noqa: E402
 from cordon.session import get_session  # noqa: E402
-from cordon.sources import fixture, sinks  # noqa: E402
+from cordon.sources import fixture  # noqa: E402
 
 
 def task_seconds(folder: str, began: float, ended: float) -> dict[str, float]:
@@ -108,16 +108,12 @@ def main() -> None:
         timings[name] = round(time.perf_counter() - t0, 3)
         return out
 
-    from cordon.operators import anomaly, zones
-
     began = time.time()
     timed("unify_and_split", lambda: audit.ingest(spark, raw_paths, CFG, tables))
     ended = time.time()
-    timed("split_stats", lambda: sinks.write_result(anomaly.anomaly_hub(audit.read_labelled(spark, tables)),
-                                                    tables.result("anomaly_hub")))
-    ids = timed("zone_rollup", lambda: audit.write_zone_daily(spark, zones_df, CFG, tables))
-    timed("location_hub", lambda: sinks.write_result(
-        zones.location_hub(zones.classify(audit.read_clean(spark, tables), ids, CFG), CFG), tables.result("location_hub")))
+    ids = audit.zone_ids_of(zones_df, CFG)
+    timed("split_stats", lambda: audit.write_hubs(spark, tables, ids, CFG))
+    timed("zone_rollup", lambda: audit.write_zone_daily(spark, zones_df, CFG, tables, zone_ids=ids))
     res = timed("open_tables", lambda: audit.results(spark, tables, zones_df, weather_df, CFG, zone_ids=ids))
     headline = [
         "daily_trips", "revenue_daily_cumulative", "zone_period", "daily_leakage",

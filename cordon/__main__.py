@@ -1,11 +1,14 @@
 """Command line: run the audit on trip files.
 
     python -m cordon --yellow DIR --green DIR --zones FILE [--weather FILE] [--out ROOT]
-                     [--phase all|trips|rollup|results] [--incremental] [--month-salt N]
+                     [--phase all|trips|rollup|results|compact|vacuum] [--incremental]
+                     [--layout keep|rebalance] [--month-salt N]
 
 ``--out`` defaults to ``<spark.checkpoint.dir>/cordon``. ``--incremental`` takes only the raw files
-that no published run has taken, and adds them. ``--month-salt`` clusters trips by month before they
-are written, for raw files that are not laid out by month.
+that no published run has taken, and adds them; several may run at once. ``--layout`` and ``--month-salt``
+override how trips are clustered by month before they are written (``sources/sinks.py``). The phases
+``compact`` (all current runs into one with planned file sizes) and ``vacuum`` (folders that no reader needs
+any more) run only when they are named.
 """
 
 from __future__ import annotations
@@ -27,8 +30,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--weather")
     ap.add_argument("--weather-format", default="parquet", choices=["parquet", "csv"])
     ap.add_argument("--out")
-    ap.add_argument("--phase", default="all", choices=["all", "trips", "rollup", "results"])
+    ap.add_argument("--phase", default="all", choices=["all", "trips", "rollup", "results", "compact", "vacuum"])
     ap.add_argument("--incremental", action="store_true")
+    ap.add_argument("--layout", choices=["keep", "rebalance"])
     ap.add_argument("--month-salt", type=int)
     return ap.parse_args(argv)
 
@@ -40,12 +44,15 @@ def run(spark, args: argparse.Namespace, cfg=DEFAULT_CONFIG) -> audit.AuditTable
     weather = raw.read_weather(spark, args.weather, args.weather_format) if args.weather else None
     if args.phase in ("all", "trips"):
         audit.ingest(spark, {"yellow": args.yellow, "green": args.green}, cfg, tables, full=not args.incremental,
-                     month_salt=args.month_salt)
-    ids = None
-    if args.phase in ("all", "rollup"):
-        ids = audit.write_zone_daily(spark, zones, cfg, tables)
+                     month_salt=args.month_salt, layout=args.layout)
+    if args.phase == "compact":
+        audit.compact(spark, tables)
+    if args.phase == "vacuum":
+        audit.vacuum(spark, tables)
+    if args.phase == "rollup":
+        audit.write_zone_daily(spark, zones, cfg, tables)
     if args.phase in ("all", "results"):
-        audit.write_results(spark, tables, zones, weather, cfg, zone_ids=ids)
+        audit.write_results(spark, tables, zones, weather, cfg)
     return tables
 
 

@@ -1,4 +1,4 @@
-"""Rule-based anomaly split (P4-P8) and its statistics.
+"""Rule-based anomaly split (P4-P8) and its statistics (A1-A3).
 
 One label column is computed per trip with a first-match CASE; the clean and the ghost (audit)
 sets are two filters of the same frame, so nothing is dropped: every trip lands in exactly one.
@@ -105,31 +105,3 @@ def ghost_patterns(hub: DataFrame) -> DataFrame:
         )
         .orderBy(F.col("trip_count").desc(), F.col("ghost_flag"))
     )
-
-
-def ghost_by_hour_dow(ghosts: DataFrame) -> DataFrame:
-    """Ghost trips by pickup hour, day of week (1 = Sunday .. 7 = Saturday) and label."""
-    return (
-        ghosts.groupBy(
-            F.hour("pickup_time").alias("pickup_hour"),
-            F.dayofweek("pickup_time").alias("pickup_dow"),
-            "ghost_flag",
-        )
-        .agg(F.count(F.lit(1)).alias("trip_count"), metric(F.avg("fare")).alias("avg_fare"))
-    )
-
-
-def ghost_by_location(ghosts: DataFrame) -> DataFrame:
-    """Ghost trips by location, counted once as pickup and once as dropoff.
-
-    One scan: each trip is expanded to its two (role, location) pairs before the partial
-    aggregation, so the shuffle carries only (role, location, label) partial counts.
-    """
-    pairs = ghosts.select(
-        "ghost_flag",
-        F.inline(F.array(
-            F.struct(F.lit("pickup").alias("location_role"), F.col("pickup_loc").alias("location_id")),
-            F.struct(F.lit("dropoff").alias("location_role"), F.col("dropoff_loc").alias("location_id")),
-        )),
-    )
-    return pairs.groupBy("location_role", "location_id", "ghost_flag").agg(F.count(F.lit(1)).alias("trip_count"))

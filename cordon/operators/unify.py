@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cordon.config import COLUMN_MAPS, REQUIRED_COLUMNS, UNIFIED_COLUMNS, UNIFIED_TYPES
 
-LINEAGE_COLUMNS = ("source_file", "file_path")
+LINEAGE_COLUMNS = ("source_file", "file_path", "file_size", "modified")
 
 
 def unify(raw: DataFrame, column_map: Mapping[str, str], taxi_type: str,

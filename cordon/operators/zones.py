@@ -1,4 +1,4 @@
-"""Tolled-zone selection, trip classification and the zone-day rollup.
+"""Tolled-zone selection, trip classification and the zone-day rollup.
 
 The rollup (``zone_daily``) is the hub: one row per (day, category, period), so it grows with the
 calendar, not with the trips. Every later result reads it, so it is written once and reused.
@@ -137,18 +137,6 @@ def zone_daily_report(rollup: DataFrame) -> DataFrame:
     return rollup.withColumns({c: metric(F.col(c)) for c in doubles})
 
 
-def zone_summary(classified: DataFrame) -> DataFrame:
-    """Trips and mean surcharge (NULL as 0) by category and period."""
-    return (
-        classified.groupBy("zone_category", "after_congestion_start")
-        .agg(
-            F.count(F.lit(1)).alias("trip_count"),
-            metric(F.avg(F.coalesce(F.col("congestion_surcharge"), F.lit(0.0)))).alias("avg_surcharge"),
-        )
-        .orderBy("zone_category", "after_congestion_start")
-    )
-
-
 LOCATION_KEYS = ("pickup_loc", "dropoff_loc", "zone_category")
 
 
@@ -187,21 +175,3 @@ def top_pickups_same_loc(hub: DataFrame, cfg: AuditConfig) -> DataFrame:
 def top_dropoffs_exiting(hub: DataFrame, cfg: AuditConfig) -> DataFrame:
     """Dropoff locations of trips leaving the zone after the start."""
     return _top_locations(hub.filter(F.col("zone_category") == EXITING), "dropoff_loc", cfg.top_k)
-
-
-def _pattern(classified: DataFrame, bucket) -> DataFrame:
-    return classified.groupBy(bucket, "zone_category", "after_congestion_start").agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        metric(F.avg("fare")).alias("avg_fare"),
-        *_surcharge_measures(),
-    )
-
-
-def zone_hourly(classified: DataFrame) -> DataFrame:
-    """Trips by pickup hour, category and period."""
-    return _pattern(classified, F.hour("pickup_time").alias("pickup_hour"))
-
-
-def zone_dow(classified: DataFrame) -> DataFrame:
-    """Trips by pickup day of week (1 = Sunday .. 7 = Saturday), category and period."""
-    return _pattern(classified, F.dayofweek("pickup_time").alias("pickup_dow"))

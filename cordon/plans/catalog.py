@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cordon.config import FIXTURE_CONFIG as CFG
-from cordon.operators import anomaly, compare, impute, kpi, leakage, series, unify, weather, zones
+from cordon.operators import anomaly, compare, hubs, impute, kpi, leakage, series, unify, weather, zones
 from cordon.sources import fixture, inventory, schema
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,31 @@ def places(spark: SparkSession, d: str) -> DataFrame:
     return zones.location_hub(classified(spark, d), CFG)
 
 
+def labelled(spark: SparkSession, d: str) -> DataFrame:
+    """Every trip, clean or not, with its label and its zone category."""
+    return zones.classify(flagged(spark, d), zone_ids(spark, d), CFG)
+
+
+def hub_of(spark: SparkSession, d: str, grain: str) -> DataFrame:
+    return hubs.trip_hub(labelled(spark, d), grain, CFG)
+
+
+def all_hubs(spark: SparkSession, d: str) -> DataFrame:
+    """All hubs by one scan, as an ingest run writes them."""
+    return hubs.trip_hubs(labelled(spark, d), CFG)
+
+
+def merged_hubs(spark: SparkSession, d: str, *grains: str) -> list[DataFrame]:
+    every = all_hubs(spark, d)
+    return [hubs.merged(every, g) for g in grains]
+
+
+def processed_months(spark: SparkSession, d: str) -> DataFrame:
+    """Months of the clean trips that a run before the policy start has taken."""
+    t = clean(spark, d).filter(F.col("pickup_time") < F.lit(CFG.policy_start_literal).cast("timestamp_ntz"))
+    return t.select("taxi_type", F.year("pickup_time").alias("year"), F.month("pickup_time").alias("month")).distinct()
+
+
 def rollup(spark: SparkSession, d: str) -> DataFrame:
     return zones.zone_daily(classified(spark, d))
 
@@ -78,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "schema_check": lambda s, d: schema.schema_check(unified(s, d).drop("taxi_type", "source_file")),
     "raw_schema_check": lambda s, d: schema.raw_schema_check(raw_by_type(s, d)),
     "file_inventory": lambda s, d: inventory.source_row_counts(raw_by_type(s, d), inventory.expected_files(s, CFG)),
+    "unprocessed_months": lambda s, d: inventory.unprocessed_months(counts(s, d), processed_months(s, d)),
     # unification
     "unify_yellow": lambda s, d: unify.unify(fixture.raw_trips(s, d, "yellow"), CFG.column_maps["yellow"], "yellow"),
     "unify_green": lambda s, d: unify.unify(fixture.raw_trips(s, d, "green"), CFG.column_maps["green"], "green"),
@@ -90,11 +116,15 @@ QUERIES: dict[str, Query] = {
     "ghost_stats": lambda s, d: anomaly.ghost_stats(hub(s, d)),
     "ghost_totals": lambda s, d: anomaly.ghost_totals(hub(s, d)),
     "ghost_patterns": lambda s, d: anomaly.ghost_patterns(hub(s, d)),
-    "ghost_by_hour_dow": lambda s, d: anomaly.ghost_by_hour_dow(ghosts(s, d)),
-    "ghost_by_location": lambda s, d: anomaly.ghost_by_location(ghosts(s, d)),
+    "ghost_stats_merged": lambda s, d: anomaly.ghost_stats(*merged_hubs(s, d, "file")),
+    "value_drift": lambda s, d: hubs.value_drift(hub_of(s, d, "file")),
+    "ghost_by_hour_dow": lambda s, d: hubs.ghost_by_hour_dow(hub_of(s, d, "clock")),
+    "ghost_by_location": lambda s, d: hubs.ghost_by_location(hub_of(s, d, "place")),
     # imputation
     "month_profile": lambda s, d: impute.month_profile(clean(s, d), CFG),
     "impute_month": lambda s, d: impute.impute_month(clean(s, d), CFG),
+    "month_profile_merged": lambda s, d: impute.month_profile_from_hubs(*merged_hubs(s, d, "day", "pickup", "dropoff"), CFG),
+    "impute_month_merged": lambda s, d: impute.impute_month_from_hubs(*merged_hubs(s, d, "day", "pickup", "dropoff"), CFG),
     "impute_total": lambda s, d: impute.impute_total(impute.impute_month(clean(s, d), CFG)),
     # zones
     "congestion_zones": lambda s, d: zones.congestion_zones(fixture.zones(s, d), CFG),
@@ -103,12 +133,14 @@ QUERIES: dict[str, Query] = {
     "zone_daily": lambda s, d: zones.zone_daily_report(rollup(s, d)),
     "zone_daily_merged": lambda s, d: zones.zone_daily_report(
         zones.zone_daily_from_partials(zones.zone_daily_partials(classified(s, d)))),
-    "zone_summary": lambda s, d: zones.zone_summary(classified(s, d)),
+    "zone_daily_from_days": lambda s, d: zones.zone_daily_report(
+        zones.zone_daily_from_partials(hubs.clean(*merged_hubs(s, d, "day")))),
+    "zone_summary": lambda s, d: hubs.zone_summary(hub_of(s, d, "day")),
     "top_pickups_entering": lambda s, d: zones.top_pickups_entering(places(s, d), CFG),
     "top_pickups_same_loc": lambda s, d: zones.top_pickups_same_loc(places(s, d), CFG),
     "top_dropoffs_exiting": lambda s, d: zones.top_dropoffs_exiting(places(s, d), CFG),
-    "zone_hourly": lambda s, d: zones.zone_hourly(classified(s, d)),
-    "zone_dow": lambda s, d: zones.zone_dow(classified(s, d)),
+    "zone_hourly": lambda s, d: hubs.zone_hourly(hub_of(s, d, "clock")),
+    "zone_dow": lambda s, d: hubs.zone_dow(hub_of(s, d, "clock")),
     # leakage and key figures
     "leakage_summary": lambda s, d: leakage.leakage_summary(rollup(s, d), CFG),
     "top_leakage_pickups": lambda s, d: leakage.top_leakage_pickups(places(s, d), CFG),
@@ -117,6 +149,9 @@ QUERIES: dict[str, Query] = {
     "quarter_stats": lambda s, d: compare.quarter_stats(clean(s, d), CFG),
     "quarter_comparison": lambda s, d: compare.quarter_comparison(clean(s, d), CFG),
     "market_share_shift": lambda s, d: compare.market_share_shift(clean(s, d), CFG),
+    "quarter_stats_merged": lambda s, d: compare.quarter_stats_from_days(*merged_hubs(s, d, "day"), CFG),
+    "quarter_comparison_merged": lambda s, d: compare.quarter_comparison_from_days(*merged_hubs(s, d, "day"), CFG),
+    "market_share_shift_merged": lambda s, d: compare.market_share_shift_from_days(*merged_hubs(s, d, "day"), CFG),
     # series from the rollup
     "daily_trips": lambda s, d: series.daily_trips(rollup(s, d)),
     "revenue_daily_cumulative": lambda s, d: series.revenue_daily_cumulative(rollup(s, d)),

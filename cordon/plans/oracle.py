@@ -509,3 +509,21 @@ FROM j GROUP BY is_rainy_day"""),
 })
 ORACLE["unify_tagged"] = ORACLE["unify_all"]
 ORACLE["zone_daily_merged"] = ORACLE["zone_daily"]
+for _name, _same in (("zone_daily_from_days", "zone_daily"), ("ghost_stats_merged", "ghost_stats"), ("month_profile_merged", "month_profile"),
+                     ("impute_month_merged", "impute_month"), ("quarter_stats_merged", "quarter_stats"),
+                     ("quarter_comparison_merged", "quarter_comparison"), ("market_share_shift_merged", "market_share_shift")):
+    ORACLE[_name] = ORACLE[_same]
+ORACLE["unprocessed_months"] = q(f"""
+SELECT taxi_type, year, month, COUNT(*) AS n_files, CAST(SUM(row_count) AS BIGINT) AS row_count
+FROM counts_fx c
+WHERE is_valid AND NOT EXISTS (SELECT 1 FROM clean_fx t WHERE t.pickup_time < {START} AND t.taxi_type = c.taxi_type
+                               AND year(t.pickup_time) = c.year AND month(t.pickup_time) = c.month)
+GROUP BY taxi_type, year, month""")
+ORACLE["value_drift"] = q("""
+, per_file AS (
+  SELECT taxi_type, source_file, unnest(['fare', 'total_amount', 'trip_distance', 'congestion_surcharge']) AS column_name,
+         COUNT(*) AS row_count,
+         unnest([COUNT(fare), COUNT(total_amount), COUNT(trip_distance), COUNT(congestion_surcharge)]) AS n_values
+  FROM flagged_fx GROUP BY taxi_type, source_file
+)
+SELECT *, n_values = 0 AND MAX(n_values) OVER (PARTITION BY taxi_type, column_name) > 0 AS dropped FROM per_file""")

@@ -1,5 +1,5 @@
-"""Source inventory (S3-S5): what arrived, what is missing, whether imputation is needed. Which files
-are left to process (S6) is in ``manifest.py``.
+"""Source inventory (S3-S6): what arrived, what is missing, what is not processed yet, whether imputation is
+needed. Which files an ingest run takes is in ``manifest.py``.
 
 Counting rows per source file is a grouped count (partial aggregation per task, one row per file
 after the shuffle). The expected grid is types x years x months, built with ``sequence``/``explode``
@@ -62,6 +62,15 @@ def missing_months(spark: SparkSession, counts: DataFrame, cfg: AuditConfig) ->
     ).orderBy("taxi_type", "year", "month")
 
 
+def unprocessed_months(counts: DataFrame, processed: DataFrame) -> DataFrame:
+    """Months with a valid source that the processed table does not hold yet, with the rows that wait: a
+    left-anti join of the sources' months with ``processed`` (``taxi_type, year, month``, in any number)."""
+    waiting = counts.filter("is_valid").groupBy("taxi_type", "year", "month").agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("row_count").alias("row_count"))
+    return waiting.join(processed.select("taxi_type", "year", "month").distinct(), ["taxi_type", "year", "month"], "left_anti") \
+        .orderBy("taxi_type", "year", "month")
+
+
 def counts_by_file(report: DataFrame) -> DataFrame:
     """The same columns from the manifest's file report, invalid files included."""
     name = F.element_at(F.split("file_path", "/"), -1)

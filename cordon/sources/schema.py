@@ -20,14 +20,28 @@ def type_family(simple_name: str) -> str:
 
 
 def schema_check(df: DataFrame) -> DataFrame:
-    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    counts = df.agg(
+    actual = set(df.columns)
+    return _checked(df, df.agg(
         F.count(F.lit(1)).alias("row_count"),
         *[
             (F.count(F.col(c)) if c in actual else F.lit(0).cast("long")).alias(f"nn_{i}")
             for i, c in enumerate(UNIFIED_COLUMNS)
         ],
-    )
+    ))
+
+
+def schema_check_from_files(stored: DataFrame, files: DataFrame) -> DataFrame:
+    """The same for a stored trip table whose file hub is known: the schema is the table's, the counts are the
+    hub's (a stored trip has all required columns)."""
+    n = {"trip_distance": "distance_n", "fare": "fare_n", "total_amount": "total_n", "congestion_surcharge": "surcharge_n"}
+    none = F.lit(0).cast("long")
+    return _checked(stored, files.agg(
+        F.coalesce(F.sum("trip_count"), none).alias("row_count"),
+        *[F.coalesce(F.sum(n.get(c, "trip_count")), none).alias(f"nn_{i}") for i, c in enumerate(UNIFIED_COLUMNS)]))
+
+
+def _checked(df: DataFrame, counts: DataFrame) -> DataFrame:
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     rows = []
     for i, c in enumerate(UNIFIED_COLUMNS):
         exp = type_family(UNIFIED_TYPES[c].simpleString())

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from cordon.config import FIXTURE_CONFIG as CFG, GHOST_LABELS
-from cordon.operators import anomaly, series, zones
+from cordon.operators import anomaly, hubs, series
 from cordon.plans import catalog
 
 
@@ -11,14 +11,14 @@ def test_clean_plus_ghost_is_total(spark, sf_small):
     flagged = catalog.flagged(spark, sf_small)
     total = flagged.count()
     assert anomaly.clean_trips(flagged).count() + anomaly.ghost_trips(flagged).count() == total
-    t = {r.taxi_type: r for r in anomaly.ghost_totals(flagged).collect()}
+    t = {r.taxi_type: r for r in anomaly.ghost_totals(anomaly.anomaly_hub(flagged)).collect()}
     assert t["all"].total_trips == total == t["yellow"].total_trips + t["green"].total_trips
     assert t["all"].ghost_trips == sum(getattr(t["all"], f"{g}_trips") for g in GHOST_LABELS)
 
 
 def test_label_counts_of_the_fixture(spark, sf_small):
     # Counts measured on the same projection (FIXTURES.md, sf0.001 column).
-    t = {r.taxi_type: r for r in anomaly.ghost_totals(catalog.flagged(spark, sf_small)).collect()}["all"]
+    t = {r.taxi_type: r for r in anomaly.ghost_totals(catalog.hub(spark, sf_small)).collect()}["all"]
     assert (t.total_trips, t.clean_trips) == (6000, 5120)
     assert (t.excessive_speed_trips, t.short_trip_high_fare_trips, t.zero_distance_positive_fare_trips,
             t.negative_duration_trips, t.negative_fare_trips) == (493, 18, 137, 3, 229)
@@ -39,7 +39,7 @@ def test_rollup_partitions_the_clean_trips(spark, sf_small):
 
 def test_zone_split_of_the_fixture(spark, sf_small):
     got = {(r.zone_category, r.after_congestion_start): r.trip_count
-           for r in zones.zone_summary(catalog.classified(spark, sf_small)).collect()}
+           for r in hubs.zone_summary(catalog.hub_of(spark, sf_small, "day")).collect()}
     assert got == {("entering_zone", 0): 478, ("entering_zone", 1): 68, ("exiting_zone", 0): 401,
                    ("exiting_zone", 1): 47, ("inside_zone", 0): 57, ("inside_zone", 1): 7,
                    ("outside_zone", 0): 3584, ("outside_zone", 1): 478}
