@@ -30,7 +30,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cordon.llm.components import components
 from cordon.llm.shared import cut
@@ -239,6 +239,18 @@ def _ngram_sets(n: int):
     return run
 
 
+def _slim(spokes: DataFrame) -> DataFrame:
+    """Edges ``a, b`` with the same components as all (text_key, hub) rows: one to its smallest hub for each
+    text, and its other hubs' to that hub, each pair of hubs once. A text that many buckets or blocks hold
+    so makes one edge, and the others are as few as the hubs that meet."""
+    spokes = spokes.distinct()
+    least = F.min("hub").over(Window.partitionBy("text_key"))
+    both = spokes.withColumn("least", least)
+    own = both.filter(F.col("hub") == F.col("least")).select(F.col("text_key").alias("a"), F.col("hub").alias("b"))
+    met = both.filter(F.col("hub") != F.col("least")).select(F.col("hub").alias("a"), F.col("least").alias("b")).distinct()
+    return own.unionByName(met)
+
+
 def _join(docs: DataFrame, n: int, threshold: Fraction, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Signatures per row, and per text: ``text_key, rep, class, n_links, n_copies``; ``rep`` and
     ``class`` are (doc_id, tie) structs with null ids last."""
@@ -251,7 +263,7 @@ def _join(docs: DataFrame, n: int, threshold: Fraction, text_col: str) -> tuple[
     banded = texts.select("text_key", F.explode("bands").alias("band"))
     hubs = banded.groupBy("band").agg(F.min("text_key").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     stars = banded.join(hubs, "band").select(F.col("text_key").alias("a"), F.col("hub").alias("b"))
-    near = components(stars).select(F.col("node").alias("text_key"), F.col("label").alias("component"))
+    near = components(_slim(stars.select(F.col("a").alias("text_key"), F.col("b").alias("hub")))).select(F.col("node").alias("text_key"), F.col("label").alias("component"))
 
     # whole n-gram sets of the texts that have candidates, dealt into blocks of their component
     weight = F.greatest("n_ngrams", F.lit(LEAST_WEIGHT))
@@ -273,7 +285,7 @@ def _join(docs: DataFrame, n: int, threshold: Fraction, text_col: str) -> tuple[
     found = cut(grouped.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
                 .mapInArrow(_verify(threshold), "text_key binary, hub binary, n_links long"), "links")
     degrees = found.groupBy("text_key").agg(F.sum("n_links").alias("n_links"))
-    classes = components(found.select(F.col("text_key").alias("a"), F.col("hub").alias("b")))
+    classes = components(_slim(found.select("text_key", "hub")))
     of_class = classes.join(texts.select(F.col("text_key").alias("node"), "rep"), "node")
     least = of_class.groupBy("label").agg(F.min("rep").alias("class"))
     named = of_class.join(least, "label").select(F.col("node").alias("text_key"), "class").join(degrees, "text_key")
@@ -297,16 +309,16 @@ def similar_documents(docs: DataFrame, n: int = N, threshold: Fraction = THRESHO
 
 def keep_one(docs: DataFrame, n: int = N, threshold: Fraction = THRESHOLD, text_col: str = "text") -> DataFrame:
     """The documents of which one of each class stays (the smallest id), with all their columns."""
-    names = docs.columns
     signed, per_text = _join(docs, n, threshold, text_col)
     heads = per_text.filter(F.col("rep") == F.col("class")).select("text_key", "rep")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("tie"))
     staying = (signed.join(heads, "text_key", "left").filter((F.col("n_ngrams") == 0) | (F.col("rep") == rank))
-               .groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_t"))
-               .agg(F.count(F.lit(1)).alias("_n"), F.max("n_ngrams").alias("_grams")))
-    rows = (docs.withColumn("_tie", _tie(docs))
-            .join(staying, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_t"))))
-    cols = [F.col(f"`{c}`") for c in names]
-    once = (F.col("_n") == 1) | (F.col("_grams") == 0)
+               .groupBy(F.col("doc_id").alias("s_id"), F.col("tie").alias("s_tie"))
+               .agg(F.count(F.lit(1)).alias("n"), F.max("n_ngrams").alias("grams")))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = (docs.select(F.col("doc_id").cast("long").alias("r_id"), _tie(docs).alias("r_tie"), whole)
+            .join(staying, F.col("r_id").eqNullSafe(F.col("s_id")) & (F.col("r_tie") == F.col("s_tie"))))
+    once = (F.col("n") == 1) | (F.col("grams") == 0)
     # rows that are equal in every column have one staying copy
-    return rows.filter(once).select(*cols).unionByName(rows.filter(~once).select(*cols).distinct())
+    kept = rows.filter(once).select("doc").unionByName(rows.filter(~once).select("doc").distinct())
+    return kept.select(*[F.col("doc")[c].alias(c) for c in docs.columns])
