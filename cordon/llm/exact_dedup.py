@@ -32,18 +32,20 @@ def ascii_lower(text: Column) -> Column:
         .otherwise(F.translate(text, UPPER, LOWER))
 
 
-def _ordered(docs: DataFrame, text_col: str) -> DataFrame:
-    """Rows with their bucket, normalised text, place in the bucket, and whether a new text begins or
+def _ordered(docs: DataFrame, text_col: str, carried: list[str]) -> DataFrame:
+    """Rows (``doc``, the carried columns) with their bucket, normalised text, place in the bucket, and whether a new text begins or
     the bucket's last row of a text is reached."""
     norm = ascii_lower(text_or_empty(text_col))
     key = F.substring(norm, 1, KEY_CHARS)
     ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST))
     splitters = sampled_splitters(docs, key, ident, docs.count())
     tie = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns])
-    dealt = docs.withColumn("_tie", tie).withColumn("_bucket", bucket_of(key, ident, splitters)).repartition("_bucket")
-    dealt = dealt.withColumn("_norm", norm).withColumn(
+    dealt = docs.select(F.struct(*[F.col(f"`{c}`") for c in carried]).alias("doc"), tie.alias("_tie"),
+                        bucket_of(key, ident, splitters).alias("_bucket")).repartition("_bucket")
+    dealt = dealt.withColumn("doc_id", F.col("doc")["doc_id"].cast("long")) \
+        .withColumn("_norm", ascii_lower(F.coalesce(F.col("doc")[text_col].cast("string"), F.lit("")))).withColumn(
         "_edge", meets_bound(F.substring("_norm", 1, KEY_CHARS), F.col("_bucket"), splitters))
-    order = Window.partitionBy("_bucket").orderBy("_norm", F.col("doc_id").cast("long").asc_nulls_first(), "_tie")
+    order = Window.partitionBy("_bucket").orderBy("_norm", F.col("doc_id").asc_nulls_first(), "_tie")
     before, after = F.lag("_norm").over(order), F.lead("_norm").over(order)
     return (dealt.withColumn("_first", before.isNull() | (before != F.col("_norm")))
             .withColumn("_last", after.isNull() | (after != F.col("_norm")))
@@ -52,8 +54,8 @@ def _ordered(docs: DataFrame, text_col: str) -> DataFrame:
 
 def exact_groups(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``."""
-    rows = cut(_ordered(docs, text_col).select(
-        F.col("doc_id").cast("long").alias("doc_id"), "_bucket", "_row", "_first", "_last", "_tie",
+    rows = cut(_ordered(docs, text_col, ["doc_id", text_col]).select(
+        "doc_id", "_bucket", "_row", "_first", "_last", "_tie",
         F.sha2(F.col("_norm").cast("binary"), 256).alias("text_sha256"), "_edge",
         F.when(F.col("_edge") & F.col("_first"), F.col("_norm")).alias("_norm")), "sorted")
     run = F.max(F.when(F.col("_first"), F.col("_row"))).over(Window.partitionBy("_bucket").orderBy("_row"))
@@ -77,12 +79,9 @@ def exact_groups(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def keep_one(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
-    names = docs.columns
-    left = cut(_ordered(docs, text_col).filter("_last")
-               .select(*[F.col(f"`{c}`") for c in names], "_tie", "_edge"), "last-of-bucket")
-    norm = ascii_lower(text_or_empty(text_col))
-    whole = F.struct(*[F.col(f"`{c}`") for c in names])
-    rank = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)), "_tie")
-    across = (left.filter("_edge").groupBy(norm.alias("_norm")).agg(F.max_by(whole, rank).alias("_doc"))
-              .select(*[F.col("_doc")[c].alias(c) for c in names]))
-    return left.filter(~F.col("_edge")).select(*[F.col(f"`{c}`") for c in names]).unionByName(across)
+    left = cut(_ordered(docs, text_col, docs.columns).filter("_last").select("doc", "doc_id", "_tie", "_edge"), "last-of-bucket")
+    norm = ascii_lower(F.coalesce(F.col("doc")[text_col].cast("string"), F.lit("")))
+    rank = F.struct(F.coalesce("doc_id", F.lit(LEAST)), F.col("_tie"))
+    across = left.filter("_edge").groupBy(norm.alias("norm")).agg(F.max_by("doc", rank).alias("doc")).select("doc")
+    kept = left.filter(~F.col("_edge")).select("doc").unionByName(across)
+    return kept.select(*[F.col("doc")[c].alias(c) for c in docs.columns])

@@ -131,12 +131,8 @@ def take_mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, tex
     """The mixed corpus: every document as often as the mix takes it, with its columns. The plan and a
     document's own id decide, so the texts are not shuffled."""
     plan = mix_plan(docs, weights, max_epochs, text_col)[1]
-    plan = plan.select(*[F.col(c).alias(f"_mix_{c}") for c in plan.columns])
-    own = docs.alias("own")
-    joined = own.join(plan, F.col("own.source").cast("string").eqNullSafe(F.col("_mix_s")))
-    hashed = unit_hash(F.col("own.doc_id").cast("long"))
-    again = (hashed <= F.col("_mix_threshold")) & (F.col("_mix_epochs") < max_epochs)
-    copies = (F.col("_mix_epochs") + F.when(again, 1).otherwise(0)).cast("int")
-    return (joined.withColumn("_mix_copies", F.array_repeat(F.lit(1), copies))
-            .select(*[F.col(f"own.`{c}`") for c in docs.columns], F.explode("_mix_copies").alias("_mix_copy"))
-            .drop("_mix_copy"))
+    rows = docs.select(F.col("source").cast("string").alias("of"), unit_hash(F.col("doc_id").cast("long")).alias("hash"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    copies = F.array_repeat(F.lit(1), _copies(F.col("hash"), max_epochs).cast("int"))
+    return (rows.join(plan, F.col("of").eqNullSafe(F.col("s"))).select("doc", F.explode(copies).alias("copy"))
+            .select(*[F.col("doc")[c].alias(c) for c in docs.columns]))
