@@ -32,15 +32,15 @@ def ascii_lower(text: Column) -> Column:
         .otherwise(F.translate(text, UPPER, LOWER))
 
 
-def _ordered(docs: DataFrame, text_col: str, carried: list[str]) -> DataFrame:
-    """Rows (``doc``, the carried columns) with their bucket, normalised text, place in the bucket, and whether a new text begins or
+def _ordered(docs: DataFrame, text_col: str, carried: list[str] | None = None) -> DataFrame:
+    """Rows (``doc``, the carried columns, or all) with their bucket, normalised text, place in the bucket, and whether a new text begins or
     the bucket's last row of a text is reached."""
     norm = ascii_lower(text_or_empty(text_col))
     key = F.substring(norm, 1, KEY_CHARS)
     ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST))
     splitters = sampled_splitters(docs, key, ident, docs.count())
     tie = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns])
-    dealt = docs.select(F.struct(*[F.col(f"`{c}`") for c in carried]).alias("doc"), tie.alias("_tie"),
+    dealt = docs.select(F.struct(*[F.col(f"`{c}`") for c in carried or docs.columns]).alias("doc"), tie.alias("_tie"),
                         bucket_of(key, ident, splitters).alias("_bucket")).repartition("_bucket")
     dealt = dealt.withColumn("doc_id", F.col("doc")["doc_id"].cast("long")) \
         .withColumn("_norm", ascii_lower(F.coalesce(F.col("doc")[text_col].cast("string"), F.lit("")))).withColumn(
@@ -79,7 +79,7 @@ def exact_groups(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def keep_one(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
-    left = cut(_ordered(docs, text_col, docs.columns).filter("_last").select("doc", "doc_id", "_tie", "_edge"), "last-of-bucket")
+    left = cut(_ordered(docs, text_col).filter("_last").select("doc", "doc_id", "_tie", "_edge"), "last-of-bucket")
     norm = ascii_lower(F.coalesce(F.col("doc")[text_col].cast("string"), F.lit("")))
     rank = F.struct(F.coalesce("doc_id", F.lit(LEAST)), F.col("_tie"))
     across = left.filter("_edge").groupBy(norm.alias("norm")).agg(F.max_by("doc", rank).alias("doc")).select("doc")

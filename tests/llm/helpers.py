@@ -48,3 +48,22 @@ def with_clashes(df):
 
 def rows_of(df):
     return sorted(map(tuple, df.collect()), key=lambda r: tuple((x is None, str(x)) for x in r))
+
+
+def names_in_plan(df):
+    """Every column name that the plan of a frame uses."""
+    return set(re.findall(r"(\w+)#\d+", df._jdf.queryExecution().analyzed().toString()))
+
+
+def with_names_of(monkeypatch, module, run, df):
+    """``df`` with a column for every name that ``run(df)`` uses inside, in all tables it writes on the way."""
+    from pyspark.sql import functions as F
+
+    used, cut = set(), module.cut
+    monkeypatch.setattr(module, "cut", lambda frame, name: used.update(names_in_plan(frame)) or cut(frame, name))
+    used |= names_in_plan(run(df))
+    monkeypatch.undo()
+    taken = {c.lower() for c in df.columns}
+    clashing = sorted(n for n in used if n.lower() not in taken)
+    assert len(clashing) > 5
+    return df.withColumns({c: F.lit(f"own {c}") for c in clashing})

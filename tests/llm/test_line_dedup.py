@@ -104,12 +104,13 @@ def edits(a, b):
     return row[-1]
 
 
-def check_bound(spark, lines, k):
+def check_bound(spark, lines, k, least=20):
     """One line a document, so that the ids are the order."""
     lines = list(dict.fromkeys(lines))
-    want = {i for i, x in enumerate(lines) if len(x) >= 20 and any(
-        len(y) >= 20 and abs(len(x) - len(y)) <= k and edits(x, y) <= k for y in lines[:i])}
-    got = line_dedup.dedup_lines(documents(spark, [(i, x, None, None, None) for i, x in enumerate(lines)]), max_edits=k).collect()
+    want = {i for i, x in enumerate(lines) if len(x) >= least and any(
+        len(y) >= least and abs(len(x) - len(y)) <= k and edits(x, y) <= k for y in lines[:i])}
+    got = line_dedup.dedup_lines(documents(spark, [(i, x, None, None, None) for i, x in enumerate(lines)]), max_edits=k,
+                                 min_chars=least).collect()
     assert {r.doc_id for r in got if r.n_near_dropped} == want and len(want) > 10
 
 
@@ -138,3 +139,22 @@ def test_one_word_changed_in_a_long_line(spark):
     assert not any(r.n_near_dropped for r in got)
     with pytest.raises(ValueError):
         line_dedup.dedup_lines(documents(spark, []), max_edits=0)
+
+
+@pytest.mark.parametrize("k", [1, 2])
+@pytest.mark.parametrize("words", [line_dedup.BITMAP_WORDS, 0])
+def test_lines_of_any_length_above_the_bound(spark, monkeypatch, k, words):
+    """Short lines take part if they are asked for, by the bitmap and by the semi-join beyond it."""
+    if words == 0:
+        monkeypatch.setattr(line_dedup, "BITMAP_WORDS", words)
+    rng = random.Random(10 + k)
+    base = ["cat", "house", "a line", "some words", "twelve chars", "abcabcabcabcabcabcabc", "x", "é" * 5, "ab"]
+    made = list(base)
+    for _ in range(90):
+        w = list(rng.choice(base))
+        for _ in range(rng.randint(1, 3)):
+            p = rng.randrange(len(w) + 1)
+            w[p:p + rng.choice([0, 1])] = rng.choice(["", "x", "b", "é"])
+        made.append("".join(w).strip() or "z")
+    rng.shuffle(made)
+    check_bound(spark, made, k, least=k + 1)

@@ -23,7 +23,7 @@ def brute(text, rule):
     owner = [i for i, line in enumerate(lines) for _ in line]
     n, over = [0] * len(lines), [0] * len(lines)
     at = 0
-    for t in tokens.encoding.encode_ordinary(text):
+    for t in tokens.encode(text):
         size = len(tokens.encoding.decode_single_token_bytes(t))
         own = owner[at:at + size]
         best = own[0] if rule == "start" else max(sorted(set(own)), key=own.count)
@@ -36,7 +36,7 @@ def brute(text, rule):
 
 def _texts():
     rng = random.Random(2)
-    out = [r[1] for r in odd_documents() if len(r[1] or "") < 100_000]
+    out = [r[1] for r in odd_documents()]
     for _ in range(60):
         out.append("".join(rng.choice(["\n", "\n\n", " ", "  \n \n", "é", "日本", prose(rng, 3), "\t\n", "\r\n", "😀"])
                            for _ in range(rng.randint(0, 25))))
@@ -78,3 +78,22 @@ def test_wrong_rule_and_empty_table(spark):
     with pytest.raises(ValueError):
         token_counts.attribute(np.array([1]), np.array([0, 1]), "half")
     assert rows_of(token_counts.count_sections(documents(spark, []), RANKS, PATTERN)) == []
+
+
+def test_runs_of_white_space_of_any_length(monkeypatch):
+    """Cut before the pattern sees them, runs give the tokens that the pattern would."""
+    tokens, own = token_counts.byte_tokens(RANKS, PATTERN), Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    own.encode_special_tokens = True
+    rng = random.Random(6)
+    short = token_counts.re.compile(token_counts._LONG_SPACE.pattern.replace("1024", "2"))
+    parts = [" ", "  ", "\n", "\t", "a", "'s", "12", "!", "é", "\u3000", "\x1c", "\x85", "漢", "    ", "don't"]
+    monkeypatch.setattr(token_counts, "_LONG_SPACE", short)
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        assert tokens.encode(text) == tokens.encoding.encode_ordinary(text) == own.encode(text, add_special_tokens=False).ids, repr(text)
+    monkeypatch.undo()
+    for text in (" " * 10_000_000, "a " + " " * 1_000_000 + "b", "\n" * 1_000_000 + "x", "!" * 1_000_000, "x" * 1_000_000):
+        ids = tokens.encode(text)
+        assert tokens.encoding.decode(ids) == text
+        if len(text) < 2_000_000:
+            assert ids == own.encode(text, add_special_tokens=False).ids
