@@ -10,7 +10,7 @@ from cordon.llm.shared import cut
 from helpers import documents, odd_documents, prose, words
 from test_exact_dedup import norm
 from test_ngram_join import brute as near_classes
-from test_rules import brute as quality
+from test_quality_rules import brute as quality
 
 
 def _rows():
