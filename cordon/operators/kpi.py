@@ -22,8 +22,7 @@ def kpi_overview(rollup: DataFrame, cfg: AuditConfig) -> DataFrame:
         F.coalesce(F.sum("trips_without_surcharge"), z.cast("long")).alias("trips_without_surcharge"),
         F.coalesce(F.avg("avg_fare"), F.lit(0.0)).alias("_avg_fare"),
         F.coalesce(F.avg("avg_distance"), F.lit(0.0)).alias("_avg_distance"),
-        (F.sum(F.col("avg_fare") * F.col("trip_count")) / F.sum(F.when(F.col("avg_fare").isNotNull(), F.col("trip_count"))))
-        .alias("_avg_fare_weighted"),
+        (F.sum(F.col("avg_fare") * F.col("fare_n")) / F.nullif(F.sum("fare_n"), z.cast("long"))).alias("_avg_fare_weighted"),
     )
     w, wo = F.col("trips_with_surcharge"), F.col("trips_without_surcharge")
     compliance = F.when(w + wo > 0, w / (w + wo) * F.lit(100.0)).otherwise(F.lit(0.0))

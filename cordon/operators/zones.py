@@ -71,11 +71,13 @@ def _surcharge_measures() -> list:
 
 
 def rollup_measures() -> list:
-    """The eight measures of the zone-day rollup (shared by the batch and the streaming rollup)."""
+    """The measures of the zone-day rollup (shared by the batch and the streaming rollup); ``fare_n`` is how
+    many trips have a fare, the weight of their mean."""
     s0 = F.coalesce(F.col("congestion_surcharge"), F.lit(0.0))
     return [
         F.count(F.lit(1)).alias("trip_count"),
         F.avg("fare").alias("avg_fare"),
+        F.count("fare").alias("fare_n"),
         F.avg("total_amount").alias("avg_total"),
         F.avg("trip_distance").alias("avg_distance"),
         F.sum(s0).alias("total_congestion_collected"),
@@ -123,6 +125,7 @@ def zone_daily_from_partials(partials: DataFrame) -> DataFrame:
         *ROLLUP_KEYS,
         "trip_count",
         mean("fare_sum", "fare_n").alias("avg_fare"),
+        "fare_n",
         mean("total_sum", "total_n").alias("avg_total"),
         mean("distance_sum", "distance_n").alias("avg_distance"),
         "total_congestion_collected",
@@ -132,9 +135,9 @@ def zone_daily_from_partials(partials: DataFrame) -> DataFrame:
 
 
 def zone_daily_report(rollup: DataFrame) -> DataFrame:
-    """The rollup with its doubles at reporting precision (for display and comparison)."""
+    """The rollup's eight reported measures, doubles at reporting precision (for display and comparison)."""
     doubles = ["avg_fare", "avg_total", "avg_distance", "total_congestion_collected", "avg_congestion_surcharge"]
-    return rollup.withColumns({c: metric(F.col(c)) for c in doubles})
+    return rollup.drop("fare_n").withColumns({c: metric(F.col(c)) for c in doubles})
 
 
 LOCATION_KEYS = ("pickup_loc", "dropoff_loc", "zone_category")

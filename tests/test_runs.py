@@ -406,3 +406,14 @@ def test_a_replayed_batch_publishes_nothing_twice(spark, place):
         assert take_batch(batch, "sq-000000000000", CFG, tables) == "sq-000000000000"
     assert take_batch(batch, "sq-000000000001", CFG, tables) is None
     assert _count(spark, tables) == 5 and manifest.last_version(spark, tables.manifest) == 1
+
+
+def test_weighted_mean_fare_is_the_mean_over_trips_with_a_fare(spark, place):
+    from cordon.operators import kpi
+
+    day = datetime(2002, 1, 1)
+    rows = [(day, "inside_zone", 1, 1, 10.0), (day, "inside_zone", 1, 1, None), (day, "inside_zone", 1, 1, None), (day, "outside_zone", 1, 1, 40.0)]
+    df = spark.createDataFrame(rows, "pickup_time timestamp_ntz, zone_category string, after_congestion_start int, n int, fare double") \
+        .withColumns({c: F.lit(1.0) for c in ("total_amount", "trip_distance", "congestion_surcharge")})
+    for rollup in (zones.zone_daily(df), zones.zone_daily_from_partials(zones.zone_daily_partials(df))):
+        assert kpi.kpi_overview(rollup, CFG).collect()[0].avg_fare_weighted == 25.0
