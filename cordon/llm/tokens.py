@@ -27,7 +27,8 @@ DEFAULT_MAX_WORDS = 200_000
 
 
 class WordIds:
-    """Ids of words under one tokenizer file; forgets all words when it holds more than ``max_words``.
+    """Ids of words under one tokenizer file, at most ``max_words`` of them: when there are more, the words
+    not met again since they were learned, or since the last time, are forgotten; if over half were, all are.
 
     A new word made of letters and then marks is looked up as those two parts, since the tokenizer
     separates letters from marks. Parts are met more often than whole words.
@@ -58,7 +59,28 @@ class WordIds:
         self.begin = np.zeros(0, np.int64)  # of a word's ids in store
         self.length = np.zeros(0, np.int64)
         self.store = np.zeros(0, np.uint32)
+        self.again = np.zeros(0, bool)  # met after it was learned
         self.parts: dict[str, bytes] = {}  # ids as unsigned 32-bit integers
+        self.old_parts: dict[str, bytes] = {}
+
+    def _forget(self, new: int) -> None:
+        keep = np.flatnonzero(self.again)
+        if len(keep) > self.max_words // 2 or len(keep) + new > self.max_words:
+            return self._clear()
+        length = self.length[keep]
+        done = np.cumsum(length)
+        total = int(done[-1]) if len(done) else 0
+        self.store = self.store[np.repeat(self.begin[keep] - (done - length), length) + np.arange(total)]
+        self.keys, self.begin, self.length = self.keys[keep], done - length, length
+        self.again = np.zeros(len(keep), bool)
+        self.old_parts, self.parts = self.parts, {}
+
+    def _has_part(self, part: str) -> bool:
+        if part not in self.parts:
+            if part not in self.old_parts:
+                return False
+            self.parts[part] = self.old_parts.pop(part)
+        return True
 
     def _learn_parts(self, words: list[str], letters: bool) -> None:
         """Encode words many at a time; in between stands the separator, or nothing if each word is one
@@ -94,13 +116,13 @@ class WordIds:
             if found:
                 stem, tail = found.groups()
                 stem = stem.lower()
-                if stem not in self.parts:
+                if not self._has_part(stem):
                     letters.add(stem)
-                if tail and tail not in self.parts:
+                if tail and not self._has_part(tail):
                     others.add(tail)
             else:
                 stem, tail = word, ""
-                if stem not in self.parts:
+                if not self._has_part(stem):
                     (alone if SEPARATOR in stem else others).add(stem)
             split.append((stem, tail))
         self._learn_parts(sorted(letters), True)
@@ -120,6 +142,7 @@ class WordIds:
         self.keys = keys[order]
         self.begin = np.concatenate([self.begin, begin[by]])[order]
         self.length = np.concatenate([self.length, lengths[by]])[order]
+        self.again = np.concatenate([self.again, np.zeros(len(by), bool)])[order]
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a slice one after another, and where each text's ids begin (n + 1)."""
@@ -134,12 +157,13 @@ class WordIds:
                 at = np.searchsorted(self.keys, hashes)
                 known = at < len(self.keys)
                 known[known] = self.keys[at[known]] == hashes[known]
+                self.again[at[known]] = True
                 return np.flatnonzero(~known)
 
             new = unknown()
             if len(new) and len(self.keys) + len(new) > self.max_words:
-                self._clear()
-                new = np.arange(len(hashes))
+                self._forget(len(new))
+                new = unknown()
             if len(new):
                 raw = texts.data.tobytes()
                 spans = first[new]
