@@ -1,7 +1,7 @@
 """Quality rules as a short-circuit cascade.
 
-Every document gets the base counts (``base_counts``). The rules of the cascade then run one after
-another, each only over the documents that all earlier ones passed. Their order comes from a sample:
+Every document gets the base counts. The rules of the cascade then run one after another, each only over the
+documents that all earlier ones passed, and read the counts that are there instead of making them again. Their order comes from a sample:
 each rule's seconds a document and its share of rejected documents are measured there, and the rule
 with the highest rejection per second goes first. A document is kept if no rule rejects it, so the
 order decides the cost and never the verdict, and a timing that differs between runs changes no row.
@@ -111,38 +111,79 @@ def _words_with(t: Texts, flags: np.ndarray, least: int = 1) -> np.ndarray:
     return found[t.ends] - found[t.starts] >= least
 
 
-def _few_words(t: Texts) -> np.ndarray:
-    return _word_count(t) < 50
+class Counts(dict):
+    """Counts of the texts of a slice by name, each made when it is first read and kept. ``only`` hands the made
+    ones on to some of the texts, whose bytes are copied together only if another count asks for them."""
 
+    def __init__(self, t: Texts, rows: np.ndarray | None = None, made: dict[str, np.ndarray] | None = None):
+        super().__init__(made or {})
+        self._whole, self._rows = t, rows
 
-def _repeats(t: Texts) -> np.ndarray:
-    return 100 * _repeat_words(t) > 50 * _word_count(t)
+    @property
+    def texts(self) -> Texts:
+        if self._rows is not None:
+            self._whole, self._rows = only(self._whole, self._rows), None
+        return self._whole
 
+    def __missing__(self, name: str) -> np.ndarray:
+        if name in ("lines", "dup_lines"):
+            self["lines"], self["dup_lines"] = _line_counts(self.texts)
+        else:
+            self[name] = COUNTS[name](self.texts)
+        return self[name]
 
-def _symbols(t: Texts) -> np.ndarray:
-    return 5 * _symbol_count(t) > _word_count(t)
+    def only(self, left: np.ndarray) -> "Counts":
+        rows = left if self._rows is None else self._rows[left]
+        return Counts(self._whole, rows, {name: value[left] for name, value in self.items()})
 
 
-def _repeated_lines(t: Texts) -> np.ndarray:
-    lines, again = _line_counts(t)
-    return 2 * again > lines
+def _letter_words(t: Texts) -> np.ndarray:
+    return _per_text(t, _words_with(t, LETTER))
 
 
-def _not_words(t: Texts) -> np.ndarray:
-    return 5 * _per_text(t, _words_with(t, LETTER)) < 4 * _word_count(t)
+def _loud_words(t: Texts) -> np.ndarray:
+    return _per_text(t, _words_with(t, CAPITAL, 2) & ~_words_with(t, SMALL))
 
 
-def _shouting(t: Texts) -> np.ndarray:
-    loud = _words_with(t, CAPITAL, 2) & ~_words_with(t, SMALL)
-    return 10 * _per_text(t, loud) > 3 * _word_count(t)
+COUNTS: dict[str, Callable[[Texts], np.ndarray]] = {
+    "words": _word_count,
+    "chars": _word_chars,
+    "symbols": _symbol_count,
+    "repeats": _repeat_words,
+    "letter_words": _letter_words,
+    "loud_words": _loud_words,
+}
+
+
+def _few_words(c: Counts) -> np.ndarray:
+    return c["words"] < 50
+
+
+def _repeats(c: Counts) -> np.ndarray:
+    return 100 * c["repeats"] > 50 * c["words"]
+
+
+def _symbols(c: Counts) -> np.ndarray:
+    return 5 * c["symbols"] > c["words"]
+
+
+def _repeated_lines(c: Counts) -> np.ndarray:
+    return 2 * c["dup_lines"] > c["lines"]
+
+
+def _not_words(c: Counts) -> np.ndarray:
+    return 5 * c["letter_words"] < 4 * c["words"]
+
+
+def _shouting(c: Counts) -> np.ndarray:
+    return 10 * c["loud_words"] > 3 * c["words"]
 
 
-def _word_length(t: Texts) -> np.ndarray:
-    words, chars = _word_count(t), _word_chars(t)
-    return (chars < 2 * words) | (chars > 20 * words)
+def _word_length(c: Counts) -> np.ndarray:
+    return (c["chars"] < 2 * c["words"]) | (c["chars"] > 20 * c["words"])
 
 
-RULES: dict[str, Callable[[Texts], np.ndarray]] = {
+RULES: dict[str, Callable[[Counts], np.ndarray]] = {
     "few_words": _few_words,
     "repeats": _repeats,
     "symbols": _symbols,
@@ -169,11 +210,11 @@ def only(t: Texts, rows: np.ndarray) -> Texts:
                  new_row[text_of])
 
 
-def cascade(t: Texts, order: list[str]) -> np.ndarray:
-    """Index in ``order`` of the rule that rejects each text, -1 if none does."""
+def cascade(t: Texts, order: list[str], counts: Counts | None = None) -> np.ndarray:
+    """Index in ``order`` of the rule that rejects each text, -1 if none does; counts made before are used."""
     verdict = np.full(t.n, -1, dtype=np.int32)
     alive = np.arange(t.n)
-    now = t
+    now = Counts(t) if counts is None else counts
     for k, name in enumerate(order):
         if not len(alive):
             break
@@ -181,7 +222,7 @@ def cascade(t: Texts, order: list[str]) -> np.ndarray:
         verdict[alive[rejected]] = k
         if rejected.any():
             left = np.flatnonzero(~rejected)
-            alive, now = alive[left], only(now, left)
+            alive, now = alive[left], now.only(left)
     return verdict
 
 
@@ -198,7 +239,7 @@ def rule_order(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPL
                 seen += t.n
                 for k, name in enumerate(names):
                     began = time.perf_counter()
-                    rejected[k] += int(RULES[name](t).sum())
+                    rejected[k] += int(RULES[name](Counts(t)).sum())
                     seconds[k] += time.perf_counter() - began
         yield pa.RecordBatch.from_arrays(
             [pa.array(names), pa.array(seconds), pa.array(rejected), pa.array(np.full(len(names), seen))],
@@ -225,14 +266,13 @@ def judge(docs: DataFrame, text_col: str = "text", order: list[str] | None = Non
         names = pa.array([*order, None], pa.string())
         for batch in batches:
             for t in slices(batch.column(1)):
-                words, repeats = _word_count(t), _repeat_words(t)
-                base_failed = (words < 50) | (100 * repeats > 50 * words)
-                verdict = cascade(t, order)
+                c = Counts(t)
+                columns = [pa.array(c[name].astype(np.int64)) for name in ("words", "chars", "symbols", "dup_lines", "repeats")]
+                base_failed = _few_words(c) | _repeats(c)
+                verdict = cascade(t, order, c)
                 kept = (verdict < 0) & ~base_failed
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(t.first, t.n), pa.array(words.astype(np.int64)), pa.array(_word_chars(t)),
-                     pa.array(_symbol_count(t)), pa.array(_line_counts(t)[1].astype(np.int64)),
-                     pa.array(repeats.astype(np.int64)), pa.array(base_failed), pa.array(kept),
+                    [batch.column(0).slice(t.first, t.n), *columns, pa.array(base_failed), pa.array(kept),
                      names.take(pa.array(np.where(verdict < 0, len(order), verdict)))],
                     names=[f.split()[0] for f in COUNTS_SCHEMA.split(", ")])
 
