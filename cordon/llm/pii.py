@@ -1,7 +1,8 @@
 """Personal data by weak supervision, with Spark expressions only.
 
-Candidates are matches of fixed patterns (e-mail, IP address, card and phone number) and of looser forms
-(a spelt-out at sign, a phone number without country code). Matches that meet their kind's conditions
+Candidates are matches of fixed patterns (e-mail, IP address, card and phone number) and of looser forms:
+addresses with the at sign or the dots spelt out, cards of 13 digits or in groups that other marks part, and phone
+numbers as written within North America, Germany, France and Spain. Matches that meet their kind's conditions
 are base spans and always reported. Five labelers vote on every candidate, for, against or not at all:
 
 - ``form``: whether it has the strict form and meets the conditions;
@@ -18,8 +19,7 @@ Candidates that are not base spans are added if it gives them at least ``ADD_AT`
 a base span.
 
 Positions are code points, found from the lengths of the matches and of the text between them, so the
-text is read by each pattern once (joining a text's spans takes time with the square of their number). The
-patterns use possessive loops and start only where a match can
+text is read by each pattern once. The patterns use possessive loops and start only where a match can
 start, so their time is linear in the text. Candidates are written without text before the statistics.
 
 Edge cases: null text is empty and has no spans; without candidates nothing is added; repeated rows get
@@ -40,6 +40,7 @@ LABELERS = ("form", "check", "gazetteer", "context", "edges")
 ADD_AT = 0.9
 CONTEXT_CHARS = 40
 ROUNDS = 50
+PART = 256  # spans of a text that are appended in one go
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 _DOMAIN = r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -48,21 +49,31 @@ EMAIL = rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@{_DOMAIN}"
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[ -]?[0-9])++"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-SPELT_EMAIL = rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++ ?[\[(](?:at|AT)[\])] ?{_DOMAIN}"
-LOCAL_PHONE = r"(?<![0-9+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"
+# Looser forms. The at sign in brackets, or as a word if the dots are words as well.
+_DOT = r"(?:\.| ?[\[({](?:dot|DOT|punkt|point|punto)[\])}] ?)"
+SPELT_EMAIL = (rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++(?: ?[\[({{](?:at|AT|arroba|arobase)[\])}}] ?[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)++"
+               r"| at [A-Za-z0-9-]++(?: dot [A-Za-z0-9-]++)++)")
+SPELT_SIGN = r"[\[({](?:at|AT|arroba|arobase)[\])}]| at [A-Za-z0-9-]++ dot "
+LOOSE_CARD = (r"(?<![0-9])(?:4(?:[ -]?[0-9]){12}(?![ -]?[0-9])"
+              r"|[0-9]{4}(?:(?:[._/ ]| ?- ?| {2})[0-9]{4}){3}(?![0-9]))")
+LOCAL_PHONE = (r"(?<![0-9+.-])(?:\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}"  # North America
+               r"|0[1-9](?:[ .-][0-9]{2}){4}"  # France
+               r"|\(?0[1-9][0-9]{1,4}(?:\) ?|[ /-])[0-9]{3,5}(?:[ -]?[0-9]{2,4})?"  # Germany
+               r"|[6-9][0-9]{2}(?: [0-9]{3}){2})(?![0-9]|[.-][0-9])")  # Spain
 
 OCTETS = r"\A(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])(?:\.|\z)){4}\z"
 DOMAINS = r"(?i)\.(?:com|org|net|edu|gov|mil|int|info|biz|io|de|fr|es|uk|it|nl|at|ch|eu|us|ca|au|in|jp|cn|br|mx)\z"
 ISSUERS = r"\A(?:4|5[1-5]|2[2-7]|3[47]|6011|65|64[4-9]|35|36|38|62)"
 COUNTRIES = r"\A\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
+AREAS = r"\A(?:[2-9][0-9]{2}[2-9][0-9]{6}\z|0[1-9]|[6-9][0-9]{8}\z)"
 RESERVED = r"\A0*(?:0|127|255|22[4-9]|23[0-9]|24[0-9]|25[0-4])\."
 ANNOUNCES = {
-    "email": r"(?i)\b(?:e-?mail|mail|contact|write|correo|courriel)\b",
-    "ip": r"(?i)\b(?:ip|server|host|address|login|from)\b",
-    "card": r"(?i)\b(?:card|visa|mastercard|amex|credit|debit|payment|karte|carte|tarjeta)\b",
-    "phone": r"(?i)\b(?:phone|tel|telephone|call|fax|mobile|cell|telefon|móvil)\b",
+    "email": r"(?i)\b(?:e-?mail|mail|contact|write|reach|correo|courriel|adresse|kontakt|contacto|escriba|schreib\w*|écri\w*)\b",
+    "ip": r"(?i)\b(?:ip|server|host|address|login|from|adresse|dirección|servidor|serveur)\b",
+    "card": r"(?i)\b(?:card|visa|mastercard|amex|credit|debit|payment|\w*karte|carte|paiement|tarjeta|pago|zahlung)\b",
+    "phone": r"(?i)\b(?:phone|tel|telephone|call|fax|mobile|cell|telefon|telefax|handy|ruf\w*|téléphone|tél|portable|appel\w*|teléfono|móvil|llam\w*)\b",
 }
-OTHER_NUMBERS = r"(?i)\b(?:version|isbn|order|invoice|serial|reference|ref|id|no|nr|page|section|release)\W*\z"
+OTHER_NUMBERS = r"(?i)\b(?:version|isbn|order|invoice|serial|reference|ref|id|no|nr|page|section|release|rechnung|bestellung|seite|facture|commande|factura|pedido|página)\W*\z"
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -70,6 +81,21 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def _sweep(items: Column, none: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """``aggregate`` of items to the array ``out`` of a state ``at, out`` that starts with 0 and an empty array. The
+    items go through in parts, so an append copies a part at most and a text of many spans takes no square of them."""
+    def parts(every: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size(every) - 1, F.lit(0)) / PART).cast("int")),
+                           lambda i: F.slice(every, i * PART + 1, F.lit(PART)))
+
+    def part(state: Column, some: Column) -> Column:
+        swept = F.aggregate(some, F.struct(state["at"].alias("at"), none.alias("out")), step)
+        return _let(swept, lambda s: F.struct(s["at"].alias("at"), F.concat(state["outs"], F.array(s["out"])).alias("outs")))
+
+    start = F.struct(F.lit(0).alias("at"), F.slice(F.array(none), 1, 0).alias("outs"))
+    return F.aggregate(_let(items, parts), start, part, lambda state: F.flatten(state["outs"]))
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """Array of ``start, end, hit, before, after`` of the pattern's matches."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -90,8 +116,7 @@ def _matches(text: Column, pattern: str) -> Column:
         return F.struct(end.alias("at"), F.when(z["hit"].isNull(), state["out"])
                         .otherwise(F.concat(state["out"], F.array(span))).alias("out"))
 
-    return F.aggregate(_let(F.split(text, pattern, -1), joined), F.struct(F.lit(0).alias("at"), none.alias("out")),
-                       step, lambda state: state["out"])
+    return _sweep(_let(F.split(text, pattern, -1), joined), none, step)
 
 
 def _digits(hit: Column) -> Column:
@@ -122,18 +147,19 @@ def _judged(kind: str, strict: bool) -> Callable[[Column], Column]:
         digits = _digits(hit)
         count = F.char_length(digits)
         if kind == "email":
-            check, known = F.length(F.substring_index(hit, ".", -1)).between(2, 24), hit.rlike(DOMAINS)
+            plain = hit if strict else F.regexp_replace(hit, r" ?[\[({](?:dot|DOT|punkt|point|punto)[\])}] ?| dot ", ".")
+            check, known = F.length(F.substring_index(plain, ".", -1)).between(2, 24), plain.rlike(DOMAINS)
             holds, size = F.lit(True), F.lit(0)
         elif kind == "ip":
             holds = hit.rlike(OCTETS)
             check, known, size = holds, ~hit.rlike(RESERVED), F.lit(0)
         elif kind == "card":
-            holds = F.when(count.between(14, 19), _luhn(digits)).otherwise(False)
+            holds = F.when(count.between(14 if strict else 13, 19), _luhn(digits)).otherwise(False)
             check, known, size = holds, digits.rlike(ISSUERS), F.when(count == 16, 2).when(count.between(13, 19), 1).otherwise(0)
         else:
-            holds = count.between(10, 15)
+            holds = count.between(10, 15) if strict else count.between(8, 12)
             check = holds
-            known = hit.rlike(COUNTRIES) if strict else digits.rlike(r"\A[2-9][0-9]{2}[2-9]")
+            known = hit.rlike(COUNTRIES) if strict else digits.rlike(AREAS)
             size = F.when(count.between(10, 12), 2).when(holds, 1).otherwise(0)
         base = holds if strict else F.lit(False)
         word = r"[\p{L}0-9]"
@@ -163,13 +189,22 @@ def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     number = text.rlike("[0-9]")
     strict = F.concat(of("email", EMAIL, True, F.contains(text, F.lit("@"))), of("ip", IP, True, number),
                       of("card", CARD, True, number), of("phone", PHONE, True, F.contains(text, F.lit("+"))))
-    loose = F.concat(of("email", SPELT_EMAIL, False, text.rlike(r"(?i)[\[(]at[\])]")), of("phone", LOCAL_PHONE, False, number))
+    loose = F.concat(of("email", SPELT_EMAIL, False, text.rlike(SPELT_SIGN)), of("card", LOOSE_CARD, False, number),
+                     of("phone", LOCAL_PHONE, False, number))
 
     def apart(spans: Column) -> Column:
         base = F.filter(spans, lambda s: s["base"])
-        other = F.filter(F.concat(F.filter(spans, lambda s: ~s["base"]), F.col("loose")), lambda s: ~F.exists(
-            base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-        return F.array_sort(F.concat(base, other))
+        other = F.concat(F.filter(spans, lambda s: ~s["base"]), F.col("loose"))
+        # A base span opens at its start, before any other span that ends further on; ``at`` is the last base end so far.
+        events = F.array_sort(F.transform(F.concat(base, other), lambda s: F.struct(
+            F.when(s["base"], s["start"]).otherwise(s["end"]).alias("pos"), s["base"].alias("base"), s.alias("span"))))
+
+        def free(state: Column, e: Column) -> Column:
+            alone = ~e["base"] & (state["at"] <= e["span"]["start"])
+            return F.struct(F.when(e["base"], F.greatest(state["at"], e["span"]["end"])).otherwise(state["at"]).alias("at"),
+                            F.when(alone, F.concat(state["out"], F.array(e["span"]))).otherwise(state["out"]).alias("out"))
+
+        return F.when(F.size(other) == 0, F.array_sort(base)).otherwise(F.array_sort(F.concat(base, _sweep(events, none, free))))
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
             .select("doc_id", strict.alias("strict"), loose.alias("loose"))
@@ -243,8 +278,8 @@ def find_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def _written(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in KINDS])
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"),
-                                                               s["end"].cast("string"))), ",")
+    return F.array_join(F.array_distinct(F.transform(spans, lambda s: F.concat_ws(
+        ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string")))), ",")
 
 
 def span_digests(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -104,6 +105,61 @@ def test_looser_forms_need_support(spark):
     assert len(wrong) > 30 and all(got[i] == "" for i in wrong)
 
 
+LOOSE = [
+    ("mail to jane.roe (at) example (dot) org please", "email", "jane.roe (at) example (dot) org"),
+    ("contact jane at example dot com today", "email", "jane at example dot com"),
+    ("correo: jane[arroba]example.es", "email", "jane[arroba]example.es"),
+    ("card 4222 2222 2222 2 expires", "card", "4222 2222 2222 2"),
+    ("visa 4111.1111.1111.1111 ok", "card", "4111.1111.1111.1111"),
+    ("Telefon 030/123 4567 abends", "phone", "030/123 4567"),
+    ("Tél. 01 23 45 67 89 merci", "phone", "01 23 45 67 89"),
+    ("teléfono 612 345 678 gracias", "phone", "612 345 678"),
+    ("please call (415) 555-2671 today", "phone", "(415) 555-2671"),
+]
+NOT_LOOSE = ["we met at noon dot by dot", "order no 4222 2222 2222 3 shipped", "id 4111.1111.1111.1112", "version 10.20.30",
+             "in 1999 2000 2001", "page 612 345 678901", "look at example", "ISBN 3 16 148410 0", "0.123 4567"]
+
+
+def test_looser_forms_of_each_kind(spark):
+    rng = random.Random(5)
+    texts = [t for t, _, _ in LOOSE] + NOT_LOOSE
+    n = len(texts)
+    texts += [prose(rng, 30) + f" Tel: +1 (415) 555-{1000 + i}, mail ab{i}@mail.example.com, card 4111111111111111 " for i in range(200)]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    got = {r.doc_id: r for r in pii.span_digests(documents(spark, rows)).collect()}
+    for i, (text, kind, hit) in enumerate(LOOSE):
+        at = text.index(hit)
+        assert got[i].spans == f"{kind}:{at}:{at + len(hit)}", text
+        assert got[i].n_email + got[i].n_ip + got[i].n_card + got[i].n_phone == 0
+    assert [texts[i] for i in range(len(LOOSE), n) if got[i].spans] == []
+
+
+def test_many_spans_and_long_runs_take_linear_time(spark):
+    """Tens of thousands of spans in a text, and runs that start every looser form and finish none."""
+    cases = ["a@b.c " * 40_000, "1.2.3.4 300.1.1.1 " * 20_000, "a at b dot " * 10_000, "4 " * 100_000, "[at]" * 50_000,
+             "0" * 300_000, "a" * 200_000 + " at ", "01 23 45 " * 10_000, "a@b.c 0123 45678 " * 10_000]
+    rows = [(i, t, None, None, None) for i, t in enumerate(cases)]
+    began = time.monotonic()
+    got = {r.doc_id: r for r in pii.span_digests(documents(spark, rows)).collect()}
+    assert time.monotonic() - began < 90
+    for i, kind, each, length in ((0, "email", 6, 5), (1, "ip", 18, 7)):
+        written = ",".join(f"{kind}:{at}:{at + length}" for at in range(0, len(cases[i]), each))
+        assert got[i].base_sha256 == hashlib.sha256(written.encode()).hexdigest()
+    assert got[8].n_email == 10_000 and got[5].spans == got[4].spans == ""
+
+
+def test_overlaps_of_many_spans_against_all_pairs(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["a@b.c", "1.2.3.4", "999.1.1.1", "0123 45678", "4111 1111 1111 1112", "+1 415 555 2671", "x"])
+                      for _ in range(900)) for _ in range(3)]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    for r in pii.candidates(documents(spark, rows)).collect():
+        spans = [(s.start, s.kind, s.end) for s in r.spans if s.base]
+        assert spans == base(texts[r.doc_id])
+        assert r.spans == sorted(r.spans) and len(r.spans) > len(spans) > 256
+        assert not [s for s in r.spans if not s.base and any(a < s.end and s.start < b for a, _, b in spans)]
+
+
 def test_plan_has_no_python(spark):
     plan = pii.candidates(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
