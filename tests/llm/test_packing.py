@@ -102,3 +102,22 @@ def test_packed_pieces_hold_the_ids(spark):
 
 def test_empty_table(spark):
     assert rows_of(packing.packed_digests(documents(spark, []), PATH)) == []
+
+
+@pytest.mark.parametrize("max_words", [20, 60, 400])
+def test_full_word_table_keeps_words_met_again(max_words):
+    """Common words outlive rare ones, the table stays within its bound, and the ids are the tokenizer's."""
+    import pyarrow as pa
+
+    rng = random.Random(max_words)
+    texts = ["the same few words, again " + prose(rng, 9) for _ in range(300)]
+    tokenizer = Tokenizer.from_file(PATH)
+    encoder = tokens.WordIds(PATH, max_words)
+    for i in range(0, len(texts), 2):
+        for t in tokens.slices(pa.array(texts[i:i + 2])):
+            ids, bounds = encoder.encode(t)
+            assert len(encoder.keys) <= max(max_words, 30)
+            for k in range(t.n):
+                want = tokenizer.encode(texts[i + k], add_special_tokens=False).ids
+                assert ids[bounds[k]:bounds[k + 1]].tolist() == want
+    assert len(encoder.parts) + len(encoder.old_parts) <= 6 * max(max_words, 30)
