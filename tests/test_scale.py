@@ -1,10 +1,13 @@
-"""What keeps the queries over trips linear in the trips."""
+"""What keeps the queries over trips linear in the trips: one scan and one shuffle of the trip rows."""
 
+import contextlib
 import datetime as dt
+import re
 
 import pytest
 
 from cordon.plans import catalog
+from cordon.sources import fixture
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +34,19 @@ def tables(spark, tmp_path_factory):
     return d
 
 
+@contextlib.contextmanager
+def shuffled(spark, adaptive="true"):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": adaptive}
+    was = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
 def tree(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -42,3 +58,32 @@ def test_results_of_several_hubs_scan_the_trips_once(spark, tables, name):
     direct = catalog.QUERIES[name](spark, tables)
     expected = sorted(map(str, direct.select(*sorted(direct.columns)).collect()))
     assert expected and sorted(map(str, merged.select(*sorted(merged.columns)).collect())) == expected
+
+
+def test_trip_rows_are_not_shuffled_to_customers(spark, tables):
+    with shuffled(spark):
+        lines = tree(fixture.trips(spark, tables)).splitlines()
+    depth = [re.search("[A-Za-z]", x).start() for x in lines]
+    at = next(i for i, x in enumerate(lines) if "SortMergeJoin [o_custkey" in x)
+    end = next((i for i in range(at + 1, len(lines)) if depth[i] <= depth[at]), len(lines))
+    assert "customer.parquet" in "".join(lines[at:end]) and "lineitem.parquet" not in "".join(lines[at:end])
+
+
+def test_trips_of_null_and_repeated_keys(spark, tables):
+    rows = {t: spark.read.parquet(f"{tables}/{t}.parquet").collect() for t in ("lineitem", "orders", "customer", "supplier")}
+    expected = []
+    for r in rows["lineitem"]:
+        start = r.l_shipdate and r.l_shipdate + dt.timedelta(seconds=((r.l_orderkey or 0) * 37 + r.l_linenumber * 101) % 86400)
+        end = start and start + dt.timedelta(
+            seconds=(r.l_partkey * 31 + (r.l_suppkey or 0) * 17 + r.l_linenumber * 53) % 3600 - 20)
+        for s in rows["supplier"]:
+            for o in rows["orders"]:
+                for c in rows["customer"]:
+                    if None not in (r.l_suppkey, r.l_orderkey, o.o_custkey) and r.l_suppkey == s.s_suppkey \
+                            and r.l_orderkey == o.o_orderkey and o.o_custkey == c.c_custkey:
+                        fare = r.l_extendedprice / 1000 * (-1 if r.l_orderkey % 25 == 0 else 1)
+                        expected.append(("yellow" if r.l_linestatus == "O" else "green", start, end, s.s_nationkey, c.c_nationkey,
+                                         fare, fare * (1 + r.l_tax)))
+    found = fixture.trips(spark, tables).select(
+        "taxi_type", "pickup_time", "dropoff_time", "pickup_loc", "dropoff_loc", "fare", "total_amount").collect()
+    assert len(expected) > 150 and sorted(map(str, map(tuple, found))) == sorted(map(str, expected))
