@@ -46,7 +46,7 @@ def speed_mph(distance: Column, duration: Column) -> Column:
 def _exceeds_speed(distance: Column, duration: Column, cfg: AuditConfig) -> Column:
     # Unguarded quotient of the audited rule: x / (d/3600) > max. With d = 0 the IEEE result is
     # +inf (x > 0) or NaN (x = 0); both order above any number, -inf (x < 0) does not.
-    quotient = distance / F.nullif(duration / F.lit(3600.0), F.lit(0.0))
+    quotient = F.try_divide(distance, duration / F.lit(3600.0))
     rule = quotient > F.lit(cfg.max_speed_mph)
     if cfg.zero_duration_is_speeding:
         rule = rule | ((duration == 0) & (distance >= 0))

@@ -44,11 +44,14 @@ def unify_tagged(raw: DataFrame, column_maps: Mapping[str, Mapping[str, str]] =
     present = set(raw.columns)
     cols = []
     for name in UNIFIED_COLUMNS:
-        value = F.lit(None).cast(UNIFIED_TYPES[name])
+        types_of: dict[str, list[str]] = {}
         for t, column_map in column_maps.items():
             src = {dst: src for src, dst in column_map.items()}.get(name)
             if src in present:
-                value = F.when(F.col(type_col) == t, F.col(src).cast(UNIFIED_TYPES[name])).otherwise(value)
+                types_of.setdefault(src, []).append(t)
+        value = F.lit(None).cast(UNIFIED_TYPES[name])
+        for src, types in types_of.items():  # a raw column is named once, however many types share it
+            value = F.when(F.col(type_col).isin(types), F.col(src).cast(UNIFIED_TYPES[name])).otherwise(value)
         cols.append(value.alias(name))
     cols += [F.col(type_col).alias("taxi_type"), *[F.col(c) for c in LINEAGE_COLUMNS if c in present]]
     return raw.select(*cols).dropna(how="any", subset=list(REQUIRED_COLUMNS))

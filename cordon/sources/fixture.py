@@ -27,9 +27,18 @@ def trips(spark: SparkSession, sf_dir: str, taxi_type: str | None = None) -> Dat
     li = _table(spark, sf_dir, "lineitem")
     if taxi_type is not None:
         li = li.filter(F.col("l_linestatus") == ("O" if taxi_type == "yellow" else "F"))
+    start = (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 101) % 86400
+    lasts = (F.col("l_partkey") * 31 + F.col("l_suppkey") * 17 + F.col("l_linenumber") * 53) % 3600 - 20
+    fare = F.col("l_extendedprice") / 1000
+    # These come out of a generator: of plain columns the optimizer copies the arithmetic into every use by the
+    # filters that it pushes below the joins, until the generated method is too long for the JVM to compile.
     li = li.select(
-        "l_orderkey", "l_suppkey", "l_partkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_shipdate",
+        "l_orderkey", "l_suppkey", "l_quantity", "l_discount", "l_tax",
+        F.inline(F.array(F.struct(
+            F.when(F.col("l_linestatus") == "O", F.lit("yellow")).otherwise(F.lit("green")).alias("taxi_type"),
+            _seconds(F.col("l_shipdate"), start).alias("pickup_time"),
+            _seconds(F.col("l_shipdate"), start + lasts).alias("dropoff_time"),
+            F.when(F.col("l_orderkey") % 25 == 0, -fare).otherwise(fare).alias("fare")))),
     )
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -40,19 +49,15 @@ def trips(spark: SparkSession, sf_dir: str, taxi_type: str | None = None) -> Dat
         li.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     )
-    pickup = _seconds(F.col("l_shipdate"), (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 101) % 86400)
-    fare_raw = F.col("l_extendedprice") / 1000
-    fare = F.when(F.col("l_orderkey") % 25 == 0, -fare_raw).otherwise(fare_raw)
     return joined.select(
-        F.when(F.col("l_linestatus") == "O", F.lit("yellow")).otherwise(F.lit("green")).alias("taxi_type"),
-        pickup.alias("pickup_time"),
-        _seconds(pickup, (F.col("l_partkey") * 31 + F.col("l_suppkey") * 17 + F.col("l_linenumber") * 53) % 3600 - 20)
-        .alias("dropoff_time"),
+        "taxi_type",
+        "pickup_time",
+        "dropoff_time",
         F.col("s_nationkey").cast("int").alias("pickup_loc"),
         F.col("c_nationkey").cast("int").alias("dropoff_loc"),
         ((F.col("l_quantity") - 1) / 4).alias("trip_distance"),
-        fare.alias("fare"),
-        (fare * (1 + F.col("l_tax"))).alias("total_amount"),
+        "fare",
+        (F.col("fare") * (1 + F.col("l_tax"))).alias("total_amount"),
         F.when(F.col("l_discount") == 0, F.lit(None).cast("double"))
         .when(F.col("l_tax") == 0, F.lit(0.0))
         .otherwise(F.lit(2.5))

@@ -1,7 +1,8 @@
-"""What keeps the queries over trips linear in the trips: one scan and one shuffle of the trip rows."""
+"""What keeps the queries over trips linear in the trips: one scan, one shuffle of the trip rows, compiled filters."""
 
 import contextlib
 import datetime as dt
+import io
 import re
 
 import pytest
@@ -87,3 +88,12 @@ def test_trips_of_null_and_repeated_keys(spark, tables):
     found = fixture.trips(spark, tables).select(
         "taxi_type", "pickup_time", "dropoff_time", "pickup_loc", "dropoff_loc", "fare", "total_amount").collect()
     assert len(expected) > 150 and sorted(map(str, map(tuple, found))) == sorted(map(str, expected))
+
+
+def test_pushed_filters_are_short_enough_to_be_compiled(spark, tables):
+    """The JVM never compiles a method of more than 8,000 bytes."""
+    out = io.StringIO()
+    with shuffled(spark, adaptive="false"), contextlib.redirect_stdout(out):
+        catalog.QUERIES["precip_elasticity"](spark, tables).explain(mode="codegen")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
+    assert sizes and max(sizes) < 8000, max(sizes)
