@@ -16,6 +16,9 @@ Spark adds the chunks' partial counts by id pair, finds each A id's highest coun
 back to the chunks that hold the pair: one row per chunk and pair travels, not one per link, so a pair that
 all documents hold is one row a chunk. The documents' links are never shuffled by pair.
 
+A chunk is written as a row for each document, with its links, and a row of the chunk's id pairs, so no row
+grows with the number of documents; a chunk's rows meet its counts in a cogroup, one chunk at a time.
+
 Texts that are null or empty, or whose joined token bytes differ from the space and the text, have no
 tokens: zeros and an empty string. Repeated rows count each, null ids are kept, an empty table gives no
 rows, and columns other than the id and the text are not read. A very long text is a chunk of its own.
@@ -39,10 +42,13 @@ from cordon.llm.token_counts import byte_tokens
 CHUNK_BYTES = 2 << 20
 _DOC_BITS = 40  # a document has fewer bytes than 2 ** 40
 
+# Of the written chunks. Spark's reader holds up to 4,096 rows of a row group, decoded, whatever their width.
+ROW_GROUP_BYTES = 16 << 20
+
 DOC_FIELDS = "doc_id long, n_a int, n_b int, n_groups int, n_links int, groups string"
-CHUNK_SCHEMA = ("chunk long, docs array<struct<" + DOC_FIELDS.replace(" ", ":").replace(",:", ",") + ">>, "
-                "a array<int>, b array<int>, pair_docs array<int>, "
-                "link_doc array<int>, link_pair array<int>, link_n array<int>")
+DOC_LINKS = "link_pair array<int>, link_n array<int>"
+CHUNK_PAIRS = "a array<int>, b array<int>, pair_docs array<int>"
+CHUNK_SCHEMA = f"chunk long, {DOC_FIELDS}, {DOC_LINKS}, {CHUNK_PAIRS}"
 OUT_SCHEMA = DOC_FIELDS.replace(" int", " long") + ", n_best long, count_sum long"
 
 
@@ -86,14 +92,21 @@ class Vocabulary:
         return pc.binary_join(pa.ListArray.from_arrays(lists.offsets, self.bytes.take(lists.flatten())), b"")
 
 
-def _lists(ids: list[list[int]], keep: np.ndarray | None = None) -> pa.ListArray:
-    if keep is not None:
-        ids = [x if k else [] for x, k in zip(ids, keep.tolist())]
+def _lists(ids: list[list[int]]) -> pa.ListArray:
     sizes = np.array([len(x) for x in ids], dtype=np.int32)
     flat = np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(sizes.sum()))
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), pa.array(flat))
 
 
+def _kept(lists: pa.ListArray, keep: np.ndarray) -> pa.ListArray:
+    """The lists, those not kept without their values."""
+    if keep.all():
+        return lists
+    sizes = np.diff(lists.offsets.to_numpy())
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.where(keep, sizes, 0)))).astype(np.int32)),
+                                    lists.values.filter(pa.array(np.repeat(keep, sizes))))
+
+
 def document_ends(lists: pa.ListArray, lengths: pa.Array) -> pa.Table:
     """``key, id`` of all tokens; the key holds the document and the byte at which the token ends there."""
     doc = pc.list_parent_indices(lists)
@@ -110,17 +123,17 @@ def _group_texts(lists: pa.ListArray, ends_group: pa.Array) -> pa.Array:
     return pc.binary_join(pa.ListArray.from_arrays(offsets, lists.flatten().cast(pa.string())), ",")
 
 
-def align_texts(a_ids: list[list[int]], b_ids: list[list[int]], wanted: list[bytes], a: Vocabulary, b: Vocabulary) -> dict:
+def align_texts(a_lists: pa.ListArray, b_lists: pa.ListArray, wanted: list[bytes], a: Vocabulary, b: Vocabulary) -> dict:
     """Alignment of the texts of one chunk, given by their token ids and the bytes both must stand for."""
     expected = pa.array(wanted, pa.binary())
-    same = pc.and_(pc.equal(a.joined(_lists(a_ids)), expected), pc.equal(b.joined(_lists(b_ids)), expected)) \
-        .to_numpy(zero_copy_only=False)
-    a_lists, b_lists = _lists(a_ids, same), _lists(b_ids, same)
+    same = pc.and_(pc.equal(a.joined(a_lists), expected), pc.equal(b.joined(b_lists), expected)).to_numpy(zero_copy_only=False)
+    a_lists, b_lists = _kept(a_lists, same), _kept(b_lists, same)
     cuts = document_ends(a_lists, a.lengths).rename_columns(["key", "a"]) \
         .join(document_ends(b_lists, b.lengths).rename_columns(["key", "b"]), "key", join_type="full outer", use_threads=False) \
         .sort_by("key").combine_chunks()
     key, at_a, at_b = (_one(cuts.column(c)) for c in ("key", "a", "b"))
     doc = pc.shift_right(key, _DOC_BITS)
+    del cuts, key
     of_a, of_b = at_a.is_valid(), at_b.is_valid()
     both = pc.and_(of_a, of_b)
     upto_a = pc.cumulative_sum(of_a.cast(pa.int64())).filter(both)
@@ -133,12 +146,15 @@ def align_texts(a_ids: list[list[int]], b_ids: list[list[int]], wanted: list[byt
     texts = pc.binary_join(pa.ListArray.from_arrays(group_offsets, groups), ";")
     code = pc.bit_wise_or(pc.shift_left(pc.fill_null_backward(at_a).cast(pa.int64()), 32), pc.fill_null_backward(at_b).cast(pa.int64()))
     coded = code.dictionary_encode()
+    del at_a, at_b, of_a, of_b, both, upto_a, upto_b, groups, code
     width = max(1, len(coded.dictionary))
     per_doc = pa.table({"at": pc.add(pc.multiply(doc, width), coded.indices.cast(pa.int64()))}) \
         .group_by("at", use_threads=False).aggregate([([], "count_all")])
     at = _one(per_doc.column("at"))
     link_doc = pc.divide(at, width)
     link_pair = pc.subtract(at, pc.multiply(link_doc, width)).cast(pa.int32())
+    by_doc = pa.array(np.argsort(link_doc.to_numpy(), kind="stable"))
+    link_offsets = pa.array(np.concatenate(([0], np.cumsum(np.bincount(link_doc.to_numpy(), minlength=n)))).astype(np.int32))
     pair_docs = pa.table({"pair": link_pair}).group_by("pair", use_threads=False).aggregate([([], "count_all")]).sort_by("pair")
     return {
         "n_a": pc.list_value_length(a_lists), "n_b": pc.list_value_length(b_lists),
@@ -146,8 +162,8 @@ def align_texts(a_ids: list[list[int]], b_ids: list[list[int]], wanted: list[byt
         "a": pc.shift_right(coded.dictionary, 32).cast(pa.int32()),
         "b": pc.bit_wise_and(coded.dictionary, pa.scalar((1 << 32) - 1, pa.int64())).cast(pa.int32()),
         "pair_docs": _one(pair_docs.column("count_all")).cast(pa.int32()),
-        "link_doc": link_doc.cast(pa.int32()), "link_pair": link_pair,
-        "link_n": _one(per_doc.column("count_all")).cast(pa.int32()),
+        "link_pair": pa.ListArray.from_arrays(link_offsets, link_pair.take(by_doc)),
+        "link_n": pa.ListArray.from_arrays(link_offsets, _one(per_doc.column("count_all")).cast(pa.int32()).take(by_doc)),
     }
 
 
@@ -168,10 +184,18 @@ def _chunk_rows(texts: pa.Array) -> Iterator[tuple[int, int]]:
         i = j
 
 
+def _rows(schema: pa.Schema, chunk: int, n: int, values: dict, names: list[str]) -> pa.RecordBatch:
+    """``n`` rows of a chunk that have these columns only."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(n, chunk, np.int64)), *[values[f.name].cast(f.type) if f.name in names else pa.nulls(n, f.type)
+                                                  for f in list(schema)[1:]]], schema=schema)
+
+
 def aligned_chunks(docs: DataFrame, ranks_path: str, pattern: str, pieces_path: str, digest: bool = False,
                    text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One row per chunk with its documents, its id pairs with their document counts, and for each document
-    and pair the number of links; written once. With ``digest`` the groups are held as SHA-256."""
+    """For each chunk a row per document, with the places of its id pairs in the chunk's list and the number
+    of links of each, and one row (``a`` is not null) with that list: the chunk's id pairs and their document
+    counts. Written once. With ``digest`` the groups are held as SHA-256."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -185,28 +209,25 @@ def aligned_chunks(docs: DataFrame, ranks_path: str, pattern: str, pieces_path:
             for lo, hi in _chunk_rows(batch.column(1)):
                 texts = [t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
                 full = [i for i, t in enumerate(texts) if t]
-                b_ids = [[]] * len(texts)
-                for i, ids in zip(full, pieces.encode([texts[i] for i in full])):
-                    b_ids[i] = ids
-                a_ids = [ranks.encode(" " + t) if t else [] for t in texts]
-                found = align_texts(a_ids, b_ids, [(" " + t).encode() if t else b"" for t in texts], a, b)
-                del a_ids, b_ids
+                ids = [[]] * len(texts)
+                for i, of_text in zip(full, pieces.encode([texts[i] for i in full])):
+                    ids[i] = of_text
+                b_lists = _lists(ids)
+                ids = of_text = None  # the ids of a chunk take several times its bytes as Python's integers
+                a_lists = _lists([ranks.encode(" " + t) if t else [] for t in texts])
+                found = align_texts(a_lists, b_lists, [(" " + t).encode() if t else b"" for t in texts], a, b)
                 if digest:
                     found["groups"] = pa.array([hashlib.sha256(g.as_buffer()).hexdigest() if n else "" for g, n in
                                                 zip(found["groups"], found["n_a"].to_numpy().tolist())])
-                fields = schema.field("docs").type.value_type
-                rows = pa.StructArray.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), *[found[f.name] for f in list(fields)[1:]]], fields=list(fields))
-                lists = [rows, *[found[c] for c in schema.names[2:]]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk], pa.int64()),
-                     *[pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x, type=schema.field(c).type)
-                       for c, x in zip(schema.names[1:], lists)]], schema=schema)
+                found["doc_id"] = batch.column(0).slice(lo, hi - lo)
+                yield _rows(schema, chunk, hi - lo, found, schema.names[1:-3])
+                yield _rows(schema, chunk, 1, {c: pa.ListArray.from_arrays(pa.array([0, len(found[c])], pa.int32()), found[c])
+                                               for c in schema.names[-3:]}, schema.names[-3:])
                 chunk += 1
-            pa.default_memory_pool().release_unused()
+                pa.default_memory_pool().release_unused()
 
     return cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-               .mapInArrow(run, CHUNK_SCHEMA), "aligned-chunks")
+               .mapInArrow(run, CHUNK_SCHEMA), "aligned-chunks", **{"parquet.block.size": ROW_GROUP_BYTES})
 
 
 def pair_counts(chunks: DataFrame) -> DataFrame:
@@ -218,29 +239,24 @@ def pair_counts(chunks: DataFrame) -> DataFrame:
     return totals.join(highest, F.col("a") == F.col("of")).select("a", "b", "n_docs", (F.col("n_docs") == F.col("most")).alias("best"))
 
 
-def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sums(lists: pa.ListArray, values: np.ndarray) -> pa.Array:
+    """The sum of each list's values."""
+    upto = np.concatenate(([0], np.cumsum(values, dtype=np.int64)))
+    offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    return pa.array(upto[offsets[1:]] - upto[offsets[:-1]])
+
+
+def _scored(docs: pa.Table, counts: pa.Table) -> pa.Table:
+    """The result's rows of one chunk."""
+    pair, times = _one(docs.column("link_pair")), _one(docs.column("link_n")).flatten().to_numpy().astype(np.int64)
+    at = pair.flatten().to_numpy()
+    n_docs, best = (np.zeros(counts.num_rows, np.int64) for _ in range(2))  # by place in the chunk's list
+    pos = counts.column("pos").to_numpy()
+    n_docs[pos] = counts.column("n_docs").to_numpy()
+    best[pos] = counts.column("best").cast(pa.int64()).to_numpy()
     names = [f.split()[0] for f in OUT_SCHEMA.split(", ")]
-    for batch in batches:
-        for r in range(batch.num_rows):
-            docs, link_doc, link_pair, link_n, counts = (batch.column(c)[r].values for c in range(5))
-            out = {f.name: docs.field(i) for i, f in enumerate(docs.type)}
-            n = len(docs)
-            best = summed = pa.array(np.zeros(n, np.int64))
-            if counts is not None and len(counts):
-                order = pc.sort_indices(counts.field(0))  # by place in the chunk's pair table
-                n_docs, is_best = counts.field(1).take(order), counts.field(2).take(order)
-                times = link_n.cast(pa.int64())
-                sums = pa.table({"doc": link_doc, "count": pc.multiply(n_docs.take(link_pair), times),
-                                 "best": pc.multiply(is_best.take(link_pair).cast(pa.int64()), times)}) \
-                    .group_by("doc", use_threads=False).aggregate([("count", "sum"), ("best", "sum")])
-                at = sums.column("doc").to_numpy()
-                values = np.zeros((2, n), dtype=np.int64)
-                values[0, at], values[1, at] = sums.column("best_sum").to_numpy(), sums.column("count_sum").to_numpy()
-                best, summed = pa.array(values[0]), pa.array(values[1])
-            yield pa.RecordBatch.from_arrays(
-                [out["doc_id"], *[out[c].cast(pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")], out["groups"], best, summed],
-                names=names)
-        pa.default_memory_pool().release_unused()
+    return pa.table([docs.column("doc_id"), *[docs.column(c).cast(pa.int64()) for c in names[1:5]], docs.column("groups"),
+                     _sums(pair, best[at] * times), _sums(pair, n_docs[at] * times)], names=names)
 
 
 def align(docs: DataFrame, ranks_path: str, pattern: str, pieces_path: str, digest: bool = False,
@@ -252,7 +268,6 @@ def align(docs: DataFrame, ranks_path: str, pattern: str, pieces_path: str, dige
     counts = pair_counts(chunks)
     held = chunks.select("chunk", F.posexplode(F.arrays_zip("a", "b")).alias("pos", "p")) \
         .select("chunk", "pos", F.col("p.a").alias("ca"), F.col("p.b").alias("cb"))
-    back = (held.join(counts, (F.col("ca") == F.col("a")) & (F.col("cb") == F.col("b")))
-            .groupBy(F.col("chunk").alias("of")).agg(F.collect_list(F.struct("pos", "n_docs", "best")).alias("counts")))
-    return (chunks.join(back, F.col("chunk") == F.col("of"), "left")
-            .select("docs", "link_doc", "link_pair", "link_n", "counts").mapInArrow(_scored, OUT_SCHEMA))
+    back = held.join(counts, (F.col("ca") == F.col("a")) & (F.col("cb") == F.col("b"))).select(F.col("chunk").alias("of"), "pos", "n_docs", "best")
+    return (chunks.filter(F.col("a").isNull()).drop("a", "b", "pair_docs").groupBy("chunk")
+            .cogroup(back.groupBy("of")).applyInArrow(_scored, OUT_SCHEMA))

@@ -6,13 +6,14 @@ import hashlib
 import random
 
 import public_tokenizers as P
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
 from cordon.llm import align
 from cordon.llm.token_counts import byte_tokens
-from helpers import documents, odd_documents, with_clashes
+from helpers import documents, odd_documents, prose, with_clashes
 
 RANKS, PIECES = P.path("byte_bpe_50k.tiktoken"), P.path("piece_bpe_32k.model")
 
@@ -91,6 +92,22 @@ def test_empty_table(spark):
     assert sorted(map(tuple, only)) == [(1, 0, 0, 0, 0, "", 0, 0), (2, 0, 0, 0, 0, "", 0, 0)]
 
 
+def test_a_chunk_is_rows_of_a_document_each(spark, monkeypatch):
+    """Chunks as wide rows filled an executor: the reader holds thousands of rows of a row group."""
+    monkeypatch.setattr(align, "ROW_GROUP_BYTES", 1 << 14)
+    rng = random.Random(3)
+    rows = [(i, prose(rng, 40), None, None, None) for i in range(1500)]
+    chunks = align.aligned_chunks(documents(spark, rows).coalesce(1), RANKS, P.PATTERN, PIECES)
+    found = chunks.collect()
+    docs, (pairs,) = [r for r in found if r.a is None], [r for r in found if r.a is not None]
+    assert sorted(r.doc_id for r in docs) == list(range(1500)) and {r.chunk for r in docs} == {pairs.chunk}
+    assert all(sum(r.link_n) == r.n_links > 0 and len(set(r.link_pair)) == len(r.link_pair) == len(r.link_n) for r in docs)
+    held = collections.Counter(p for r in docs for p in r.link_pair)
+    assert [held[p] for p in range(len(pairs.a))] == pairs.pair_docs and len(set(zip(pairs.a, pairs.b))) == len(pairs.b)
+    written = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in chunks.inputFiles()]
+    assert max(m.row_group(k).num_rows for m in written for k in range(m.num_row_groups)) < 500
+
+
 def test_ids_equal_the_other_library():
     own = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     own.encode_special_tokens = True
